@@ -1,0 +1,33 @@
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    root = tmp_path_factory.mktemp("spark")
+    session = (
+        SparkSession.builder.master("local[4]")
+        .appName("rankdex-tests")
+        .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "4g")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", str(root / "shared"))
+        .config("spark.sql.warehouse.dir", str(root / "warehouse"))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def table(spark):
+    return lambda name: spark.read.parquet(f"{SF}/{name}.parquet")
