@@ -28,7 +28,7 @@ from rankdex.functions.literals import normalise, related_entries  # noqa: E402
 from rankdex.functions.text import replace_first, valid_query  # noqa: E402
 from rankdex.operators.lookup import missing  # noqa: E402
 from rankdex.operators.pairing import cogroup, pair_by_index, side_sizes  # noqa: E402
-from rankdex.operators.postings import inverted_index, write_index  # noqa: E402
+from rankdex.operators.postings import inverted_index, read_heads, write_index  # noqa: E402
 from rankdex.operators.ranking import (  # noqa: E402
     dense_index,
     follower_count,
@@ -40,7 +40,7 @@ from rankdex.operators.upsert import keyed_add, keyed_put  # noqa: E402
 from rankdex.plans.drilldown import detail_lookup, expand_related, search_topics  # noqa: E402
 from rankdex.plans.keyword_search import search, search_pages  # noqa: E402
 from rankdex.plans.popularity import load_popularity, pair_by_popularity  # noqa: E402
-from rankdex.scratch import scratch_path  # noqa: E402
+from rankdex.scratch import materialise, scratch_path  # noqa: E402
 from rankdex.sources.documents import read_documents  # noqa: E402
 from rankdex.sources.edges import read_edges  # noqa: E402
 from rankdex.sources.keyed_table import KeyedTable  # noqa: E402
@@ -510,7 +510,7 @@ def search_stored_index(spark, sf_dir):
     path = scratch_path(spark, "postings")
     write_index(_index(spark, sf_dir), path)
     documents = _table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
-    return search(_keyword_queries(spark, sf_dir), spark.read.parquet(path), documents, 2)
+    return search(_keyword_queries(spark, sf_dir), read_heads(spark, path), documents, 2)
 
 
 @register(
@@ -532,7 +532,8 @@ def search_labels(spark, sf_dir):
 def search_missing_documents(spark, sf_dir):
     """Hits whose document a document table lacks, here the labels."""
     pages = search_pages(_keyword_queries(spark, sf_dir), _index(spark, sf_dir), 1)
-    return missing(page_hits(pages), _table(spark, sf_dir, "labels"), "doc_id")
+    hits = materialise(page_hits(pages), "hits")
+    return missing(hits, _table(spark, sf_dir, "labels"), "doc_id")
 
 
 @register(

@@ -44,7 +44,7 @@ def with_map(df: DataFrame, column: str) -> DataFrame:
         ),
     )
     # A column of its own, so that the lambda below does not sort once per entry.
-    df = df.withColumn("_entries", F.array_sort(entries))
+    df = df.withColumn("_entries", F.sort_array(entries))
     last_of_id = F.filter(
         "_entries",
         lambda entry, at: F.coalesce(F.get("_entries", at + 1)["id"] != entry["id"], F.lit(True)),
@@ -84,7 +84,7 @@ def related_entries(df: DataFrame, key: str, related: str) -> DataFrame:
     """One row per entry of the map ``related``: the document, the entry's place in
     ascending id order, its id and its title."""
     return df.select(
-        key, F.posexplode(F.array_sort(F.map_entries(related))).alias("place", "_entry")
+        key, F.posexplode(F.sort_array(F.map_entries(related))).alias("place", "_entry")
     ).select(
         key,
         "place",

@@ -19,13 +19,28 @@ STEP_4 = (
     "ism", "ate", "iti", "ous", "ive", "ize",
 )
 
+_DERIVED = ((STEP_2, tuple(STEP_2)), (STEP_3, tuple(STEP_3)))
+
+
+class _Letters(dict):
+    """For ``str.translate``: vowels to ``v``, ``y`` kept, all else to ``c``."""
+
+    def __missing__(self, letter: int) -> str:
+        self[letter] = "c"
+        return "c"
+
+
+_LETTERS = _Letters({ord("y"): "y", **{ord(vowel): "v" for vowel in "aeiou"}})
+
 
 def _shape(word: str) -> str:
     """``v`` or ``c`` per letter; ``y`` is a vowel only after a consonant."""
-    shape = ""
-    for letter in word:
-        vowel = letter in "aeiou" or (letter == "y" and shape.endswith("c"))
-        shape += "v" if vowel else "c"
+    shape = word.translate(_LETTERS)
+    at = shape.find("y")
+    while at >= 0:
+        kind = "v" if at and shape[at - 1] == "c" else "c"
+        shape = shape[:at] + kind + shape[at + 1 :]
+        at = shape.find("y", at)
     return shape
 
 
@@ -39,12 +54,12 @@ def _short(word: str) -> bool:
     return shape.endswith("cvc") and shape.count("vc") == 1 and word[-1] not in "wxy"
 
 
-def _longest_suffix(word: str, suffixes) -> str | None:
-    """The longest suffix that leaves at least one letter."""
-    for start in range(1, len(word)):
-        if word[start:] in suffixes:
-            return word[start:]
-    return None
+def _longest_suffix(word: str, suffixes: tuple[str, ...]) -> str | None:
+    """The longest of ``suffixes`` that leaves at least one letter."""
+    if not word.endswith(suffixes):
+        return None
+    fitting = [s for s in suffixes if len(s) < len(word) and word.endswith(s)]
+    return max(fitting, key=len, default=None)
 
 
 def stem(word: str) -> str:
@@ -53,10 +68,11 @@ def stem(word: str) -> str:
         return word
 
     # Plurals.
-    if (word.endswith("sses") and len(word) > 4) or (word.endswith("ies") and len(word) > 3):
-        word = word[:-2]
-    elif word[-1] == "s" and word[-2] != "s":
-        word = word[:-1]
+    if word[-1] == "s":
+        if (word.endswith("sses") and len(word) > 4) or (word.endswith("ies") and len(word) > 3):
+            word = word[:-2]
+        elif word[-2] != "s":
+            word = word[:-1]
 
     # Past and continuous forms.
     if word.endswith("eed") and len(word) > 3:
@@ -76,8 +92,8 @@ def stem(word: str) -> str:
         word = word[:-1] + "i"
 
     # Derivational suffixes.
-    for table in (STEP_2, STEP_3):
-        ending = _longest_suffix(word, table)
+    for table, suffixes in _DERIVED:
+        ending = _longest_suffix(word, suffixes)
         if ending and _measure(word[: -len(ending)]) > 0:
             word = word[: -len(ending)] + table[ending]
     ending = _longest_suffix(word, STEP_4)
@@ -89,7 +105,8 @@ def stem(word: str) -> str:
     # A final e, and a final double l.
     if word.endswith("e"):
         rest = word[:-1]
-        if _measure(rest) > 1 or (_measure(rest) == 1 and not _short(rest)):
+        measure = _measure(rest)
+        if measure > 1 or (measure == 1 and not _short(rest)):
             word = rest
     if word.endswith("ll") and _measure(word) > 1:
         word = word[:-1]

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 # A key with more rows than this is spread over several tasks.
 ROWS_PER_KEY = 10_000
-# Bounds on what is broadcast.
+# Bounds on what is sent to every executor, and on the keys put into a filter.
 BROADCAST_ROWS = 100_000
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 64 << 20
 BROADCAST_IDS = 4_000_000
+FILTER_KEYS = 1_000
 
 
 def measure(df: DataFrame) -> tuple[int, int]:
@@ -22,6 +23,26 @@ def measure(df: DataFrame) -> tuple[int, int]:
     return found["rows"], found["bytes"] or 0
 
 
+def only_asked(one: DataFrame, many: DataFrame, key: str, rows: int, size: int) -> DataFrame:
+    """The rows of ``one`` whose key is found in ``many``, a table of ``rows`` rows and
+    ``size`` bytes, if the distinct keys are few enough to send along; otherwise
+    ``one`` itself.
+
+    Up to ``FILTER_KEYS`` keys become a filter, which reaches the files: buckets, row
+    groups and dictionaries without such a key are not read. More are broadcast.
+    """
+    asked = many.select(key).where(F.col(key).isNotNull()).distinct()
+    if size <= BROADCAST_BYTES:
+        keys = [row[0] for row in asked.limit(FILTER_KEYS + 1).collect()]
+        if len(keys) <= FILTER_KEYS:
+            return one.where(F.col(key).isin(keys))
+    if rows > BROADCAST_IDS or size > BROADCAST_BYTES:
+        rows, size = measure(asked)
+    if rows <= BROADCAST_IDS and size <= BROADCAST_BYTES:
+        return one.join(F.broadcast(asked), key, "left_semi")
+    return one
+
+
 def spread_join(
     many: DataFrame, one: DataFrame, key: str, spread_by: str, many_rows: int, how: str = "inner"
 ) -> DataFrame:
@@ -33,7 +54,7 @@ def spread_join(
     rows of ``many``, whose rows then choose a copy by the hash of ``spread_by``.
     Other keys join as they are. There are at most ``many_rows / ROWS_PER_KEY`` hot
     keys, and the threshold rises to keep that under a million, so their list is
-    small enough to broadcast. ``many`` is read twice: pass a stored or cheap one.
+    small enough to broadcast. ``many`` is read more than once: pass a stored one.
     """
     threshold = max(ROWS_PER_KEY, many_rows // 1_000_000)
     counts = many.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > threshold)
@@ -56,21 +77,22 @@ def fetch(many: DataFrame, one: DataFrame, key: str, spread_by: str) -> DataFram
     """Each row of ``many`` with the row of ``one`` that it names; rows that name
     none are left out. ``one`` may be wide and as large as a collection.
 
-    ``many`` is measured first, so pass a stored or cheap one. A small ``many`` is
-    broadcast: ``one`` is scanned once and not shuffled. With up to
-    ``BROADCAST_IDS`` rows of a numeric key, rows of ``one`` that nobody asks for
-    are dropped before the shuffle. Beyond that, both sides are shuffled.
+    ``many`` is measured first, so pass a stored or cheap one. Rows of ``one`` that
+    nobody asks for are dropped where it is scanned, as ``only_asked`` says. A small
+    ``many`` is then broadcast and ``one`` not shuffled at all; otherwise both are,
+    with hot keys spread.
     """
     rows, size = measure(many)
+    one = only_asked(one, many, key, rows, size)
     if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES:
         return one.join(F.broadcast(many), key)
-    if rows <= BROADCAST_IDS and isinstance(many.schema[key].dataType, T.NumericType):
-        wanted = many.select(key).distinct()
-        one = one.join(F.broadcast(wanted), key, "left_semi")
     return spread_join(many, one, key, spread_by, rows)
 
 
 def missing(many: DataFrame, one: DataFrame, key: str) -> DataFrame:
-    """How often each key of ``many`` that ``one`` lacks is asked for."""
+    """How often each key of ``many``, a stored or cheap table, is asked for that
+    ``one`` lacks."""
+    many = many.select(key)
+    present = only_asked(one.select(key), many, key, *measure(many))
     asked = many.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return asked.join(one.select(key), key, "left_anti")
+    return asked.join(present, key, "left_anti")

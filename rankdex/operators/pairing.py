@@ -53,6 +53,6 @@ def cogroup(
     numbered = dense_index(rows, [F.col(c).asc() for c in (key, "_side", "_left", "_right")])
     chunk = F.floor(F.col("ix") / chunk_rows).alias("chunk")
     return numbered.groupBy(key, chunk).agg(
-        F.array_sort(F.collect_list("_left")).alias("left_values"),
-        F.array_sort(F.collect_list("_right")).alias("right_values"),
+        F.sort_array(F.collect_list("_left")).alias("left_values"),
+        F.sort_array(F.collect_list("_right")).alias("right_values"),
     )

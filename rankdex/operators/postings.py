@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from rankdex.functions.text import stem_words, words
+from rankdex.scratch import materialise, use_all_cores
+
+PAGE_SIZE = 15  # Fixed value: hits on a page.
+PAGES = 5  # Fixed value: pages that a search offers.
+DEPTH = PAGE_SIZE * PAGES
 
 
 def inverted_index(
@@ -17,9 +22,12 @@ def inverted_index(
     """Distinct ``(keyword, doc_id)`` pairs of whole texts.
 
     A document's words are made distinct, and stemmed, inside its row, so building
-    needs no shuffle. Only where several rows share a key (``unique_key=False``)
-    are pairs made distinct across rows.
+    needs no shuffle (but see ``use_all_cores`` for small inputs). Only where several
+    rows share a key (``unique_key=False``) are pairs made distinct across rows.
     """
+    documents = documents.select(key, text)
+    if unique_key:
+        documents = use_all_cores(documents, key)
     keywords = words(F.col(text))
     if stem:
         keywords = F.array_distinct(stem_words(keywords))
@@ -27,19 +35,7 @@ def inverted_index(
     return pairs if unique_key else pairs.distinct()
 
 
-def write_index(postings: DataFrame, path: str) -> None:
-    """Store an index sorted by keyword and document.
-
-    The range shuffle is on both columns: a keyword of a third of all documents
-    spreads over many files, and a search reads only the files and row groups
-    whose keyword range holds one of its words.
-    """
-    postings.repartitionByRange("keyword", "doc_id").sortWithinPartitions(
-        "keyword", "doc_id"
-    ).write.parquet(path)
-
-
-def posting_heads(postings: DataFrame, depth: int) -> DataFrame:
+def posting_heads(postings: DataFrame, depth: int = DEPTH) -> DataFrame:
     """The ``depth`` lowest document ids of each keyword, as one ascending array.
 
     This is all that the first ``depth`` hits of any query can need: a document
@@ -48,4 +44,29 @@ def posting_heads(postings: DataFrame, depth: int) -> DataFrame:
     """
     by_id = Window.partitionBy("keyword").orderBy("doc_id")
     first = postings.withColumn("_n", F.row_number().over(by_id)).where(F.col("_n") <= depth)
-    return first.groupBy("keyword").agg(F.array_sort(F.collect_list("doc_id")).alias("doc_ids"))
+    return first.groupBy("keyword").agg(F.sort_array(F.collect_list("doc_id")).alias("doc_ids"))
+
+
+def write_index(postings: DataFrame, path: str) -> None:
+    """Store an index: all postings, and the heads that searches read.
+
+    Both are sorted by keyword within their files, so a search reads only the row
+    groups whose keyword range holds one of its words. Postings are partitioned by
+    ranges of keyword and document: a keyword of a third of all documents spreads
+    over many files. They are stored before that, because finding the ranges takes
+    a pass of its own, which should not read and stem all texts again.
+    """
+    postings = materialise(postings, "postings")
+    by_keyword = ("keyword", "doc_id")
+    postings.repartitionByRange(*by_keyword).sortWithinPartitions(*by_keyword).write.parquet(
+        f"{path}/postings"
+    )
+    posting_heads(postings).sortWithinPartitions("keyword").write.parquet(f"{path}/heads")
+
+
+def read_postings(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/postings")
+
+
+def read_heads(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/heads")

@@ -4,16 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rankdex.functions.text import query_words, stem_words
-from rankdex.operators.lookup import BROADCAST_BYTES, spread_join
-from rankdex.operators.postings import posting_heads
+from rankdex.functions.text import MAX_WORDS, query_words, stem_words
+from rankdex.operators.lookup import BROADCAST_BYTES, measure, only_asked, spread_join
+from rankdex.operators.postings import DEPTH, PAGE_SIZE, posting_heads
 from rankdex.scratch import materialise
 
-PAGE_SIZE = 15  # Fixed value: hits on a page.
-# With at most this many queries, the documents their words name are at most
-# 5,000 x 15 words x 75 ids, or 45 MB, which is still broadcast.
-FEW_QUERIES = 5_000
-
 
 def query_terms(
     queries: DataFrame, query_id: str = "query_id", query: str = "query", stem: bool = True
@@ -26,37 +21,37 @@ def query_terms(
     return queries.select(F.col(query_id), F.posexplode_outer(keywords).alias("pos", "keyword"))
 
 
-def few_queries(queries: DataFrame, query: str = "query") -> bool:
-    """Whether the terms of all ``queries`` are small enough to broadcast. One pass
-    over the query column."""
-    found = queries.agg(F.count(F.lit(1)), F.sum(F.octet_length(query))).first()
-    return found[0] <= FEW_QUERIES and (found[1] or 0) <= BROADCAST_BYTES
-
-
 def query_bags(
     queries: DataFrame,
-    postings: DataFrame,
+    index: DataFrame,
     depth: int,
     query_id: str = "query_id",
     query: str = "query",
     stem: bool = True,
 ) -> DataFrame:
     """One row per query: the documents of its first word in id order, then those of
-    the second, and so on, repeats kept, at most ``depth`` of each word."""
-    terms = query_terms(queries, query_id, query, stem)
-    if few_queries(queries, query):
-        # Postings of other words go before anything is sorted or shuffled.
-        asked = terms.select("keyword").distinct()
-        heads = posting_heads(postings.join(F.broadcast(asked), "keyword", "left_semi"), depth)
+    the second, and so on, repeats kept, at most ``depth`` of each word.
+
+    ``index`` holds postings or their heads. The terms of the queries are stored
+    first and measured; see ``only_asked`` for what that saves on the index.
+    """
+    terms = materialise(query_terms(queries, query_id, query, stem), "terms")
+    rows, size = measure(terms)
+    index = only_asked(index, terms, "keyword", rows, size)
+    if "doc_ids" not in index.columns:
+        heads = posting_heads(index, depth)
+    elif depth <= DEPTH:
+        heads = index.withColumn("doc_ids", F.slice("doc_ids", 1, depth))
+    else:
+        raise ValueError(f"stored heads hold {DEPTH} documents per keyword, not {depth}")
+    # The heads of all terms take at most depth ids per term, and their keywords.
+    if rows * depth * 8 + size <= BROADCAST_BYTES:
         found = terms.join(F.broadcast(heads), "keyword", "left")
     else:
-        terms = materialise(terms, "terms")
-        found = spread_join(
-            terms, posting_heads(postings, depth), "keyword", query_id, terms.count(), "left"
-        )
-    # At most MAX_WORDS arrays of depth ids each.
+        found = spread_join(terms, heads, "keyword", query_id, rows, "left")
+    # A query has at most MAX_WORDS rows, of at most depth ids each.
     found = found.withColumn("doc_ids", F.coalesce("doc_ids", F.array()))
-    by_word = F.array_sort(F.collect_list(F.struct("pos", "doc_ids")))
+    by_word = F.slice(F.sort_array(F.collect_list(F.struct("pos", "doc_ids"))), 1, MAX_WORDS)
     return found.groupBy(query_id).agg(
         F.flatten(F.transform(by_word, lambda word: word["doc_ids"])).alias("bag")
     )

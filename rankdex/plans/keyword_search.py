@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from rankdex.functions.text import valid_query
 from rankdex.operators.lookup import fetch
-from rankdex.operators.search import PAGE_SIZE, few_queries, page_hits, query_bags, result_pages
+from rankdex.operators.postings import PAGE_SIZE
+from rankdex.operators.search import page_hits, query_bags, result_pages
 from rankdex.scratch import materialise
 
 
 def search_pages(
     queries: DataFrame,
-    postings: DataFrame,
+    index: DataFrame,
     page: int = 1,
     query_id: str = "query_id",
     query: str = "query",
@@ -22,18 +23,19 @@ def search_pages(
 ) -> DataFrame:
     """One row per query with the labels and hits of one page; see ``result_pages``.
 
-    ``query_id`` is unique. ``only_valid`` leaves out queries that are empty or hold
-    anything but ASCII letters and spaces.
+    ``index`` holds postings, or heads for the first pages. ``query_id`` is unique.
+    ``only_valid`` leaves out queries that are empty or hold anything but ASCII
+    letters and spaces.
     """
     if only_valid:
         queries = queries.where(valid_query(F.col(query)))
-    bags = query_bags(queries, postings, PAGE_SIZE * page, query_id, query, stem)
+    bags = query_bags(queries, index, PAGE_SIZE * page, query_id, query, stem)
     return result_pages(bags, page, PAGE_SIZE, compat)
 
 
 def search(
     queries: DataFrame,
-    postings: DataFrame,
+    index: DataFrame,
     documents: DataFrame,
     page: int = 1,
     key: str = "doc_id",
@@ -44,11 +46,9 @@ def search(
     only_valid: bool = False,
 ) -> DataFrame:
     """The hits of one page with their documents, in any row order: ``rank`` tells
-    the place. A hit without document is left out and leaves its rank empty; count
+    the place. The hits, ids only, are found and stored first; then their documents
+    are fetched. A hit without document is left out and leaves its rank empty; count
     those with ``rankdex.operators.lookup.missing``."""
-    pages = search_pages(queries, postings, page, query_id, query, stem, compat, only_valid)
-    hits = page_hits(pages, key)
-    if few_queries(queries, query):
-        # At most FEW_QUERIES * PAGE_SIZE narrow rows: the documents are only scanned.
-        return documents.join(F.broadcast(hits), key)
-    return fetch(materialise(hits, "hits"), documents, key, query_id)
+    pages = search_pages(queries, index, page, query_id, query, stem, compat, only_valid)
+    hits = materialise(page_hits(pages, key), "hits")
+    return fetch(hits, documents, key, query_id)

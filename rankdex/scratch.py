@@ -1,4 +1,4 @@
-"""Intermediate tables in the shared folder that the session names."""
+"""Intermediate tables in the shared folder that the session names, and task counts."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+SMALL_SHARE = 32 << 20
+
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path under ``spark.checkpoint.dir``.
@@ -29,3 +31,15 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def use_all_cores(df: DataFrame, key: str) -> DataFrame:
+    """``df`` hashed by its unique ``key`` over all cores, if it holds less than
+    ``SMALL_SHARE`` per core; larger inputs stay as their files split.
+
+    A collection in a few large row groups would keep a few cores busy with work
+    that takes far longer per byte than this shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores, key) if size < SMALL_SHARE * cores else df
