@@ -404,7 +404,7 @@ def related_parse(spark, sf_dir):
 
 @register(
     f"""with {_RELATED_SQL}
-    select p_partkey, place, related_id, related_title, lang related_lang, n_chars related_n_chars
+    select p_partkey, place, related_id, related_title, lang target_lang, n_chars target_n_chars
     from entries join documents on related_id = doc_id"""
 )
 def related_expand(spark, sf_dir):
@@ -513,6 +513,37 @@ def search_stored_index(spark, sf_dir):
     return search(_keyword_queries(spark, sf_dir), read_heads(spark, path), documents, 2)
 
 
+@register(
+    f"""with {STEMMED_INDEX}, {QUERIES}, {HITS}
+    select query_id, rk as "rank", doc_id, text description, lang first_topic, source last_topic,
+        n_chars + 7 first_related, 'it''s ' || lang related_title,
+        'https://embed.example.com/www.example.com' url
+    from hits join documents using (doc_id) where rk between 1 and 15"""
+)
+def search_results(spark, sf_dir):
+    """Hits with whole documents, whose text columns are parsed once fetched."""
+    documents = _with_topics(_table(spark, sf_dir, "documents"), "lang", "source").select(
+        "doc_id",
+        "topics",
+        F.col("text").alias("description"),
+        F.format_string('{%d: "it\'s %s"}', F.col("n_chars") + 7, "lang").alias("related"),
+        F.lit("https://www.example.com/www.example.com").alias("url"),
+    )
+    found = search(_keyword_queries(spark, sf_dir), _index(spark, sf_dir), documents)
+    hosts = {"url": ("www.example.com", "embed.example.com")}
+    return normalise(found, lists=["topics"], maps=["related"], hosts=hosts).select(
+        "query_id",
+        "rank",
+        "doc_id",
+        "description",
+        F.get("topics", F.lit(0)).alias("first_topic"),
+        F.get("topics", F.lit(1)).alias("last_topic"),
+        F.get(F.map_keys("related"), F.lit(0)).alias("first_related"),
+        F.get(F.map_values("related"), F.lit(0)).alias("related_title"),
+        "url",
+    )
+
+
 @register(
     f"""with {STEMMED_INDEX}, {QUERIES}, {HITS}
     select query_id, 3 page, 31 low, 30 + count(rk) high

@@ -23,13 +23,12 @@ def lenient_long(text: Column) -> Column:
 def prefix_long(text: Column) -> Column:
     """The integer at the start of ``text`` after any blanks, or NULL: ``12abc``
     gives 12. A ``0x`` prefix is read as hexadecimal."""
-    hexadecimal = F.regexp_extract(text, r"^\s*[+-]?0[xX]([0-9a-fA-F]+)", 1)
-    negative = text.rlike(r"^\s*-")
+    digits = F.regexp_extract(text, r"^\s*[+-]?0[xX]([0-9a-fA-F]+)", 1)
     # Up to 15 hexadecimal digits fit a signed long; conv() would wrap beyond that.
-    from_hex = F.when(
-        F.length(F.ltrim(hexadecimal, F.lit("0"))) <= 15,
-        F.conv(hexadecimal, 16, 10).try_cast("long"),
+    size = F.when(
+        F.length(F.ltrim(digits, F.lit("0"))) <= 15, F.conv(digits, 16, 10).try_cast("long")
     )
-    return F.when(
-        hexadecimal != "", F.when(negative, -from_hex).otherwise(from_hex)
-    ).otherwise(F.regexp_extract(text, r"^\s*([+-]?[0-9]+)", 1).try_cast("long"))
+    hexadecimal = F.when(F.ltrim(text).startswith("-"), -size).otherwise(size)
+    decimal = F.regexp_extract(text, r"^\s*([+-]?[0-9]+)", 1).try_cast("long")
+    # Most ids hold no x: spare them the hexadecimal pattern.
+    return F.when(F.lower(text).contains("0x") & (digits != ""), hexadecimal).otherwise(decimal)

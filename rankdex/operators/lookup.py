@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from rankdex.scratch import materialise
+
 # A key with more rows than this is spread over several tasks.
 ROWS_PER_KEY = 10_000
 # Bounds on what is sent to every executor, and on the keys put into a filter.
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 << 20
 BROADCAST_IDS = 4_000_000
-FILTER_KEYS = 1_000
+FILTER_KEYS = 200
 
 
 def measure(df: DataFrame) -> tuple[int, int]:
@@ -50,23 +52,27 @@ def spread_join(
     part of ``many``.
 
     Keys with more than ``ROWS_PER_KEY`` rows are found first; counting combines
-    before its shuffle. Their row of ``one`` is copied once per ``ROWS_PER_KEY``
-    rows of ``many``, whose rows then choose a copy by the hash of ``spread_by``.
-    Other keys join as they are. There are at most ``many_rows / ROWS_PER_KEY`` hot
-    keys, and the threshold rises to keep that under a million, so their list is
-    small enough to broadcast. ``many`` is read more than once: pass a stored one.
+    before its shuffle. Without such a key this is a plain join, which a ``one``
+    bucketed by ``key`` enters as stored. Otherwise a hot key's row of ``one`` is
+    copied once per ``ROWS_PER_KEY`` rows of ``many``, whose rows choose a copy by
+    the hash of ``spread_by``; other keys join as they are. There are at most
+    ``many_rows / ROWS_PER_KEY`` hot keys, and the threshold rises to keep that
+    under a million, so their list is small enough to broadcast. ``many`` is read
+    more than once: pass a stored one.
     """
     threshold = max(ROWS_PER_KEY, many_rows // 1_000_000)
     counts = many.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > threshold)
-    hot = F.broadcast(counts.select(key, F.ceil(F.col("_n") / threshold).alias("_copies")))
+    hot = materialise(counts.select(key, F.ceil(F.col("_n") / threshold).alias("_copies")), "hot")
+    if hot.isEmpty():
+        return many.join(one, key, how)
     copies = F.coalesce("_copies", F.lit(1))
     left = (
-        many.join(hot, key, "left")
+        many.join(F.broadcast(hot), key, "left")
         .withColumn("_copy", F.pmod(F.xxhash64(spread_by), copies))
         .drop("_copies")
     )
     right = (
-        one.join(hot, key, "left")
+        one.join(F.broadcast(hot), key, "left")
         .withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)))
         .drop("_copies")
     )
@@ -85,8 +91,11 @@ def fetch(many: DataFrame, one: DataFrame, key: str, spread_by: str) -> DataFram
     rows, size = measure(many)
     one = only_asked(one, many, key, rows, size)
     if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES:
-        return one.join(F.broadcast(many), key)
-    return spread_join(many, one, key, spread_by, rows)
+        joined = one.join(F.broadcast(many), key)
+    else:
+        joined = spread_join(many, one, key, spread_by, rows)
+    own, found = ([c for c in df.columns if c != key] for df in (many, one))
+    return joined.select(key, *own, *found)
 
 
 def missing(many: DataFrame, one: DataFrame, key: str) -> DataFrame:

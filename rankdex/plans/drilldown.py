@@ -34,12 +34,12 @@ def expand_related(
     documents: DataFrame, targets: DataFrame, key: str = "doc_id", related: str = "related"
 ) -> DataFrame:
     """Every entry of the map column ``related`` with the document of ``targets``
-    that it links to. ``targets`` has the key and the columns to show; links to
-    documents it lacks are left out."""
+    that it links to, its columns prefixed ``target_``. ``targets`` has the key and
+    the columns to show; links to documents it lacks are left out."""
     links = materialise(related_entries(documents, key, related), "links")
     shown = targets.select(
         F.col(key).alias("related_id"),
-        *(F.col(c).alias(f"related_{c}") for c in targets.columns if c != key),
+        *(F.col(c).alias(f"target_{c}") for c in targets.columns if c != key),
     )
     return fetch(links, shown, "related_id", key)
 
@@ -54,4 +54,5 @@ def detail_lookup(
     """The document of each request, whose raw id is read like ``12abc`` -> 12.
     Requests without a leading integer, or for no document, are left out."""
     wanted = requests.select(request_id, prefix_long(F.col(raw_id)).alias(key))
-    return fetch(wanted.where(F.col(key).isNotNull()), documents, key, request_id)
+    wanted = materialise(wanted.where(F.col(key).isNotNull()), "requests")
+    return fetch(wanted, documents, key, request_id)

@@ -14,7 +14,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path under ``spark.checkpoint.dir``.
 
     Executors may be lost at any time, so the folder has to be one that every
-    executor can read. Only a local session may fall back on its own disk.
+    executor can read. Only a local session may fall back on its own disk. All
+    paths of an application share one folder, which can go when it has ended.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -22,7 +23,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="rankdex-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/rankdex-{label}-{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    return f"{root.rstrip('/')}/rankdex-{application}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

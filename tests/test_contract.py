@@ -1,0 +1,41 @@
+"""Every registered query against its SQL, on whole tables of the smallest scale."""
+
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def con():
+    connection = duckdb.connect()
+    for path in Path(SF).glob("*.parquet"):
+        connection.execute(f"create view {path.stem} as select * from '{path}'")
+    return connection
+
+
+def test_entry(spark):
+    rows = contract.entry(spark)
+    assert rows.columns == ["ix", "doc_id", "social_id"]
+    assert rows.count() == 200
+
+
+def test_every_query_has_sql():
+    assert set(contract.queries()) == set(contract.oracle_sql())
+
+
+@pytest.mark.parametrize("name", contract.queries())
+def test_query(spark, con, name):
+    got = contract.queries()[name](spark, SF)
+    columns = sorted(got.columns)
+    result = con.execute(contract.oracle_sql()[name])
+    names = [c[0] for c in result.description]
+    assert sorted(names) == columns
+    expected = [tuple(r[names.index(c)] for c in columns) for r in result.fetchall()]
+    rows = [tuple(r) for r in got.select(*columns).collect()]
+    assert rows
+    assert sorted(rows, key=repr) == sorted(expected, key=repr)
