@@ -15,7 +15,10 @@ _TRAILING_COMMA = r",\s*([\]}])\s*$"
 
 def _json_text(literal: Column) -> Column:
     """``literal`` in the form that Spark's JSON parser takes."""
-    unicode_escapes = F.regexp_replace(literal, _HEX_ESCAPE, r"$1\\u00$2")
+    # Few texts hold such an escape: spare the others the pattern.
+    unicode_escapes = F.when(
+        literal.contains("\\x"), F.regexp_replace(literal, _HEX_ESCAPE, r"$1\\u00$2")
+    ).otherwise(literal)
     return F.regexp_replace(unicode_escapes, _TRAILING_COMMA, "$1")
 
 
