@@ -259,7 +259,7 @@ _PUT_SQL = """
         where c_custkey not in (select k from last_order)
         union all select k, s, n, null from last_order)"""
 _ADD_SQL = """
-    deltas as (select l_suppkey * 40 k, sum(l_orderkey) d from lineitem group by 1)"""
+    deltas as (select l_suppkey * 40 k, cast(sum(l_orderkey) as bigint) d from lineitem group by 1)"""
 
 
 def _base(spark, sf_dir):
@@ -381,7 +381,7 @@ _RELATED_SQL = """
         union all select p_partkey, 2, p_partkey % 60, 'seven' from part),
     entries as (
         select p_partkey, id related_id, title related_title,
-            row_number() over (partition by p_partkey order by id) - 1 place
+            cast(row_number() over (partition by p_partkey order by id) - 1 as integer) place
         from (select * from given
               qualify row_number() over (partition by p_partkey, id order by seq desc) = 1))"""
 
@@ -546,7 +546,7 @@ def search_results(spark, sf_dir):
 
 @register(
     f"""with {STEMMED_INDEX}, {QUERIES}, {HITS}
-    select query_id, 3 page, 31 low, 30 + count(rk) high
+    select query_id, 3 page, 31 low, cast(30 + count(rk) as integer) high
     from q left join (select * from hits where rk between 31 and 45) using (query_id)
     group by 1"""
 )
@@ -587,7 +587,7 @@ def query_validity(spark, sf_dir):
     q as (select distinct topic query_id, topic query
         from (select unnest([lang, source]) topic from documents)), {HITS}
     select query_id topic, doc_id, rk as "rank", 1 page, 1 low,
-        count(*) over (partition by query_id) high, lang, n_chars
+        cast(count(*) over (partition by query_id) as integer) high, lang, n_chars
     from hits join documents using (doc_id) where rk between 1 and 15"""
 )
 def topic_search(spark, sf_dir):

@@ -103,7 +103,8 @@ def _hits(stem: bool) -> str:
     return f"""words_of as ({words_of}), {_MATCHES},
     first as (select query_id, doc_id, min(pos) pos from m group by 1, 2),
     hits as (select query_id, doc_id,
-        row_number() over (partition by query_id order by pos, doc_id) rk from first)"""
+        cast(row_number() over (partition by query_id order by pos, doc_id) as integer) rk
+        from first)"""
 
 
 HITS = _hits(stem=True)
@@ -115,8 +116,8 @@ def COMPAT_HITS(page: int) -> str:  # noqa: N802
     bag as (select query_id, doc_id,
         row_number() over (partition by query_id order by pos, doc_id) o from m),
     first as (select query_id, doc_id, min(o) o from bag where o >= {15 * (page - 1)} group by 1, 2),
-    hits as (select query_id, doc_id, {15 * (page - 1)} +
-        row_number() over (partition by query_id order by o) rk from first)"""
+    hits as (select query_id, doc_id, cast({15 * (page - 1)} +
+        row_number() over (partition by query_id order by o) as integer) rk from first)"""
 
 
 def page_sql(page: int, compat: bool = False) -> str:
