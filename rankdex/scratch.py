@@ -17,14 +17,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     executor can read. Only a local session may fall back on its own disk. All
     paths of an application share one folder, which can go when it has ended.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="rankdex-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    application = spark.sparkContext.applicationId
-    return f"{root.rstrip('/')}/rankdex-{application}/{label}-{uuid.uuid4().hex}"
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="rankdex-"))
+        root = context.getCheckpointDir()
+    folder = f"rankdex-{context.applicationId}"
+    return f"{root.rstrip('/')}/{folder}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

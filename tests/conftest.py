@@ -17,7 +17,8 @@ def spark(tmp_path_factory):
         .appName("rankdex-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(root / "shared"))
         .config("spark.sql.warehouse.dir", str(root / "warehouse"))

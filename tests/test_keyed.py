@@ -3,6 +3,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from rankdex.operators.lookup import fetch
 from rankdex.operators.upsert import keyed_add, keyed_put
 from rankdex.plans.popularity import load_popularity
 from rankdex.sources.keyed_table import KeyedTable
@@ -109,6 +110,17 @@ def test_put_does_not_shuffle_the_table(spark, base, name):
     assert len(table.read().inputFiles()) <= 8
 
 
+def test_lookup_filters_the_stored_table(spark, name):
+    table = KeyedTable(spark, name, "k", SCHEMA, buckets=8)
+    table.put(spark.range(1000).select(F.col("id").alias("k"), F.lit("v").alias("v")))
+    asked = spark.createDataFrame([(1, 5), (2, 5), (3, 9)], "id long, k long")
+    found = fetch(asked, table.read(), "k", "id")
+    assert rows(found.select("id", "k", "v")) == [(1, 5, "v"), (2, 5, "v"), (3, 9, "v")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(k, [5,9])" in plan or "PushedFilters: [In(k, [9,5])" in plan
+    assert "Exchange hashpartitioning" not in plan
+
+
 def test_load_popularity_with_repeated_documents(spark, name):
     """The same key twice: the least viewed row stays, and its nodes add up."""
     documents = spark.createDataFrame(

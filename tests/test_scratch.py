@@ -1,0 +1,44 @@
+from types import SimpleNamespace
+
+import pytest
+
+from rankdex.scratch import materialise, scratch_path, use_all_cores
+
+
+def session(master, conf=None, checkpoint=None):
+    context = SimpleNamespace(
+        master=master, applicationId="app", getCheckpointDir=lambda: checkpoint[0], made=[]
+    )
+    checkpoint = checkpoint or [None]
+    context.setCheckpointDir = lambda path: checkpoint.__setitem__(0, path)
+    return SimpleNamespace(conf={"spark.checkpoint.dir": conf}, sparkContext=context)
+
+
+def test_the_named_folder_is_used():
+    path = scratch_path(session("yarn", "hdfs:///shared/"), "x")
+    assert path.startswith("hdfs:///shared/rankdex-app/x-")
+    assert path != scratch_path(session("yarn", "hdfs:///shared/"), "x")
+
+
+def test_no_folder_on_a_cluster():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(session("spark://host:7077"), "x")
+
+
+def test_no_folder_in_a_local_session():
+    local = session("local[2]")
+    path = scratch_path(local, "x")
+    assert path.startswith(local.sparkContext.getCheckpointDir())
+
+
+def test_materialise_runs_the_plan_once(spark):
+    df = materialise(spark.sql("select id, uuid() as u from range(100)"), "test")
+    assert df.exceptAll(df).count() == 0
+    assert "Range" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_small_inputs_are_spread(spark, monkeypatch):
+    few = spark.range(100).coalesce(1)
+    assert use_all_cores(few, "id").rdd.getNumPartitions() == 4
+    monkeypatch.setattr("rankdex.scratch.SMALL_SHARE", 1)
+    assert use_all_cores(few, "id").rdd.getNumPartitions() == 1
