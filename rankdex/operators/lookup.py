@@ -19,8 +19,11 @@ def measure(df: DataFrame) -> tuple[int, int]:
     """Rows of ``df``, and about as many bytes as they take. One pass over it."""
     width = F.lit(0).cast("long")
     for field in df.schema.fields:
-        text = isinstance(field.dataType, T.StringType)
-        width = width + (F.coalesce(F.octet_length(field.name), F.lit(0)) + 16 if text else 16)
+        width = width + 16
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            width = width + F.octet_length(F.to_json(F.struct(field.name)))
     found = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
     return found["rows"], found["bytes"] or 0
 

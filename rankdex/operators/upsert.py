@@ -13,19 +13,24 @@ def keyed_put(
     key: str,
     order_by: Sequence[Column] = (),
     keep: str = "last",
+    unique: bool = False,
 ) -> DataFrame:
     """``base`` with every row of ``updates`` put by ``key``.
 
     An existing row is replaced whole: columns that ``updates`` lacks become NULL.
     When ``updates`` repeats a key, its ``last`` or ``first`` row in ``order_by``
     wins (any one of them without ``order_by``); repeats are reduced before the
-    shuffle.
+    shuffle. With ``unique``, for updates known to hold a key once, their rows go
+    straight into the join.
     """
     values = [c for c in updates.columns if c != key]
     row = F.struct(F.lit(True).alias("_put"), *values)
-    pick = {"last": F.max_by, "first": F.min_by}[keep]
-    kept = pick(row, F.struct(*order_by)) if order_by else F.any_value(row)
-    puts = updates.groupBy(key).agg(kept.alias("_new"))
+    if unique:
+        puts = updates.select(key, row.alias("_new"))
+    else:
+        pick = {"last": F.max_by, "first": F.min_by}[keep]
+        kept = pick(row, F.struct(*order_by)) if order_by else F.any_value(row)
+        puts = updates.groupBy(key).agg(kept.alias("_new"))
     joined = base.join(puts, key, "full_outer")
     is_put = F.col("_new").isNotNull()
 

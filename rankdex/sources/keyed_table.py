@@ -20,7 +20,8 @@ class KeyedTable:
     Writing makes the next version and then points the view at it, so a failed or
     repeated write leaves the table as it was, and readers of the version before
     keep their files. Because versions are bucketed, a put or add shuffles its
-    updates only. One writer at a time.
+    updates only; but each one rewrites the table, so gather updates into large
+    ones, and store updates that are costly to compute. One writer at a time.
 
     Files go where the catalog keeps ``name``'s schema; on a cluster that is
     shared storage. Use as many ``buckets`` as give files of about 1 GB.
@@ -39,9 +40,18 @@ class KeyedTable:
     def put(
         self, updates: DataFrame, order_by: Sequence[Column] = (), keep: str = "last"
     ) -> None:
-        """Replace or insert whole rows; nothing is written when there are none."""
+        """Replace or insert whole rows; nothing is written when there are none.
+
+        Keys are counted first, which moves keys only. Where none repeats, which is
+        the usual case, the wide rows are then shuffled once, into their buckets.
+        """
         if not updates.isEmpty():
-            self._publish(keyed_put(self.read(), updates, self.key, order_by, keep))
+            repeated = updates.groupBy(self.key).count().where("count > 1")
+            self._publish(
+                keyed_put(
+                    self.read(), updates, self.key, order_by, keep, unique=repeated.isEmpty()
+                )
+            )
 
     def add(self, deltas: DataFrame, column: str) -> None:
         """Add to ``column`` of existing rows, or insert rows."""

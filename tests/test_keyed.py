@@ -44,6 +44,13 @@ def test_put_of_repeated_keys(spark, base, keep, expected):
     assert out.where("k = 1").first()["v"] == expected
 
 
+def test_put_of_unique_keys_shuffles_rows_once(spark, base):
+    puts = spark.createDataFrame([(2, "B", None), (3, "c", None)], SCHEMA)
+    put = keyed_put(base, puts, "k", unique=True)
+    assert rows(put.fillna(-1)) == rows(keyed_put(base, puts, "k").fillna(-1))
+    assert "Aggregate" not in put._jdf.queryExecution().executedPlan().toString()
+
+
 def test_add(spark, base):
     deltas = spark.createDataFrame([(1, 7), (1, 7), (2, 1), (9, 4)], "k long, s long")
     expected = [(1, "a", 14), (2, "b", 6), (9, "", 4)]

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from rankdex.functions.porter import stem
 from rankdex.operators import lookup
-from rankdex.operators.lookup import fetch, missing, spread_join
+from rankdex.operators.lookup import fetch, measure, missing, spread_join
 from rankdex.operators.postings import (
     inverted_index,
     posting_heads,
@@ -247,6 +247,15 @@ def test_fetch_ways_agree(spark, large, monkeypatch, keys):
     assert spread == sorted(tuple(r) for r in fetch(many, one, "k", "id").collect())
 
 
+def test_measure(spark):
+    df = spark.createDataFrame(
+        [(1, "é" * 100, list(range(1000))), (2, None, None)], "k long, s string, a array<long>"
+    )
+    rows, size = measure(df)
+    assert rows == 2 and 200 + 2000 < size < 6000
+    assert measure(df.limit(0)) == (0, 0)
+
+
 def test_small_fetch_does_not_shuffle_documents(spark, table):
     many = spark.range(500).select("id", F.col("id").alias("doc_id"))
     fetched = fetch(many, table("documents"), "doc_id", "id")
