@@ -27,7 +27,7 @@ def test_edges_and_followers(spark, tmp_path):
     assert rows(ranked) == [(1, 0), (2, 1), (4, 2), (5, 3)]
 
 
-@pytest.mark.parametrize("line", ["x 1", "7", "", "1  2", "1 2x"])
+@pytest.mark.parametrize("line", ["x 1", "7", "", "1  2", "1 2x", "1\t2", "1 2\t", "9223372036854775808 1"])
 def test_bad_edge_line(spark, tmp_path, line):
     path = write(tmp_path / "e.txt", f"1 2\n{line}\n3 4\n")
     with pytest.raises(Exception, match="not an edge"):
@@ -36,8 +36,8 @@ def test_bad_edge_line(spark, tmp_path, line):
 
 
 def test_ids_beyond_32_bits(spark, tmp_path):
-    path = write(tmp_path / "e.txt", "5000000000 -7\n")
-    assert rows(read_edges(spark, path)) == [(5_000_000_000, -7)]
+    path = write(tmp_path / "e.txt", "5000000000 -7\n9223372036854775807 +000000000000000000012 3\n")
+    assert rows(read_edges(spark, path)) == [(5_000_000_000, -7), (2**63 - 1, 12)]
 
 
 def test_csv_by_header_name(spark, tmp_path):
