@@ -46,6 +46,20 @@ from rankdex.sources.edges import read_edges  # noqa: E402
 from rankdex.sources.keyed_table import KeyedTable  # noqa: E402
 from rankdex.sources.rows import local_rows  # noqa: E402
 
+# The operators on training data may be left out, with the pipeline made of them.
+try:
+    from rankdex.llm.queries import ORACLE_SQL as _MORE_SQL, QUERIES as _MORE_QUERIES
+except ImportError:
+    _MORE_QUERIES, _MORE_SQL = {}, {}
+try:
+    import corpus_pipeline
+except ImportError:
+    pass
+else:
+    _MORE_QUERIES = {**_MORE_QUERIES, "pipeline": corpus_pipeline.run}
+    if corpus_pipeline.ORACLE_SQL:
+        _MORE_SQL = {**_MORE_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
@@ -69,11 +83,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_MORE_QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return {**_SQL, **_MORE_SQL}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from rankdex.functions.text import stem_words, words
-from rankdex.scratch import materialise, use_all_cores
+from rankdex.scratch import materialise
 
 PAGE_SIZE = 15  # Fixed value: hits on a page.
 PAGES = 5  # Fixed value: pages that a search offers.
@@ -22,12 +22,10 @@ def inverted_index(
     """Distinct ``(keyword, doc_id)`` pairs of whole texts.
 
     A document's words are made distinct, and stemmed, inside its row, so building
-    needs no shuffle (but see ``use_all_cores`` for small inputs). Only where several
-    rows share a key (``unique_key=False``) are pairs made distinct across rows.
+    needs no shuffle. Only where several rows share a key (``unique_key=False``) are
+    pairs made distinct across rows.
     """
     documents = documents.select(key, text)
-    if unique_key:
-        documents = use_all_cores(documents, key)
     keywords = words(F.col(text))
     if stem:
         keywords = F.array_distinct(stem_words(keywords))

@@ -1,31 +1,29 @@
-"""Intermediate tables in the shared folder that the session names, and task counts."""
+"""Intermediate tables in the shared folder that the session names."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-SMALL_SHARE = 32 << 20
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder for intermediate tables.
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path under ``spark.checkpoint.dir``.
-
-    Executors may be lost at any time, so the folder has to be one that every
-    executor can read. Only a local session may fall back on its own disk. All
-    paths of an application share one folder, which can go when it has ended.
+    Executors may be lost at any time, so it has to be one that every executor can
+    read: ``spark.checkpoint.dir``, or, where that is unset, a folder in the
+    warehouse, which is shared wherever tables are.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="rankdex-"))
-        root = context.getCheckpointDir()
-    folder = f"rankdex-{context.applicationId}"
-    return f"{root.rstrip('/')}/{folder}/{label}-{uuid.uuid4().hex}"
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+    return f"{root.rstrip('/')}/rankdex-{context.applicationId}"
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new, unused path in the application's folder."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -36,13 +34,8 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def use_all_cores(df: DataFrame, key: str) -> DataFrame:
-    """``df`` hashed by its unique ``key`` over all cores, if it holds less than
-    ``SMALL_SHARE`` per core; larger inputs stay as their files split.
-
-    A collection in a few large row groups would keep a few cores busy with work
-    that takes far longer per byte than this shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores, key) if size < SMALL_SHARE * cores else df
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the application's folder. Call it when no DataFrame that this package
+    returned will be read any more, at the latest before the session stops."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

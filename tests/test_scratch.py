@@ -1,34 +1,27 @@
 from types import SimpleNamespace
 
-import pytest
+from rankdex.scratch import clear_scratch, materialise, scratch_path
 
-from rankdex.scratch import materialise, scratch_path, use_all_cores
 
-
-def session(master, conf=None, checkpoint=None):
-    context = SimpleNamespace(
-        master=master, applicationId="app", getCheckpointDir=lambda: checkpoint[0], made=[]
-    )
-    checkpoint = checkpoint or [None]
-    context.setCheckpointDir = lambda path: checkpoint.__setitem__(0, path)
-    return SimpleNamespace(conf={"spark.checkpoint.dir": conf}, sparkContext=context)
+def session(conf=None, checkpoint=None, warehouse="file:/wh"):
+    context = SimpleNamespace(applicationId="app", getCheckpointDir=lambda: checkpoint)
+    settings = {"spark.checkpoint.dir": conf, "spark.sql.warehouse.dir": warehouse}
+    return SimpleNamespace(conf=settings, sparkContext=context)
 
 
 def test_the_named_folder_is_used():
-    path = scratch_path(session("yarn", "hdfs:///shared/"), "x")
+    path = scratch_path(session("hdfs:///shared/"), "x")
     assert path.startswith("hdfs:///shared/rankdex-app/x-")
-    assert path != scratch_path(session("yarn", "hdfs:///shared/"), "x")
+    assert path != scratch_path(session("hdfs:///shared/"), "x")
 
 
-def test_no_folder_on_a_cluster():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_path(session("spark://host:7077"), "x")
+def test_the_folder_set_in_the_context_is_used():
+    assert scratch_path(session(None, "hdfs:///set"), "x").startswith("hdfs:///set/rankdex-app/x-")
 
 
-def test_no_folder_in_a_local_session():
-    local = session("local[2]")
-    path = scratch_path(local, "x")
-    assert path.startswith(local.sparkContext.getCheckpointDir())
+def test_without_a_folder_the_warehouse_is_used():
+    path = scratch_path(session(), "x")
+    assert path.startswith("file:/wh/scratch/rankdex-app/x-")
 
 
 def test_materialise_runs_the_plan_once(spark):
@@ -37,8 +30,12 @@ def test_materialise_runs_the_plan_once(spark):
     assert "Range" not in df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_only_small_inputs_are_spread(spark, monkeypatch):
-    few = spark.range(100).coalesce(1)
-    assert use_all_cores(few, "id").rdd.getNumPartitions() == 4
-    monkeypatch.setattr("rankdex.scratch.SMALL_SHARE", 1)
-    assert use_all_cores(few, "id").rdd.getNumPartitions() == 1
+def test_clear_scratch_deletes_the_folder_of_the_application(tmp_path, spark):
+    conf = {"spark.checkpoint.dir": str(tmp_path)}
+    other = SimpleNamespace(
+        conf=conf, sparkContext=spark.sparkContext, _jvm=spark._jvm, _jsc=spark._jsc
+    )
+    folder = tmp_path / f"rankdex-{spark.sparkContext.applicationId}"
+    (folder / "x").mkdir(parents=True)
+    clear_scratch(other)
+    assert not folder.exists()
