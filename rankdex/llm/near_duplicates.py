@@ -3,8 +3,9 @@
 Every text is a set of word shingles. Equal sets are collapsed; what remains gets 64
 minwise tokens. Independent trees branch the sets by selected tokens: sets that agree
 on the tokens of a path share a node. Small nodes are compared exhaustively, larger
-ones branch on. Candidates are confirmed on the full sets, and the components of the
-confirmed links are the classes.
+ones branch on. Nodes that a step does not shrink, as those of a large group of
+near copies, are compared block by block between what is not linked yet. All links
+are confirmed on the full sets, and their components are the classes.
 
 Recall: a pair of similarity s agrees on a token with probability s. The first step of
 a tree takes two tokens on four branches, each later one a single token on two
@@ -36,8 +37,8 @@ LEAST_AGREEING = 43
 LIKELY_AGREEING = 52
 #: Ids that may be broadcast, of 8 bytes each.
 BROADCAST_IDS = 2_000_000
-#: Rows of a block when the sets of a node that does not shrink are compared.
-BLOCK_ROWS = 1_000
+#: Sets in a block when the sets of nodes that do not shrink are compared.
+BLOCK_ROWS = 500
 
 _numbers = random.Random(11)
 _XOR = np.array([_numbers.getrandbits(32) for _ in range(TOKENS)], np.uint32)[:, None]
@@ -164,8 +165,8 @@ def _small_node_pairs(nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def _candidates(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs ``a, b, likely`` from all trees, and the rows of nodes that do
-    not shrink, as ``node, size, id, n, bits_a, bits_b``.
+    """Candidate pairs ``a, b, likely`` from all trees, and the ``node, id`` of nodes
+    that do not shrink.
 
     ``sets`` holds ``id, n, tokens, bits_a, bits_b`` once for each different set. A
     node that keeps more than half of the sets of the node above is branched no
@@ -213,7 +214,7 @@ def _candidates(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
             (F.col("id") != F.col("leader_id")) & likely & _sizes_fit("", "leader_", percent)
         )
         pairs.append(near.select(*_pairs(F.col("id"), F.col("leader_id"), F.lit(True))))
-        stuck.append(opened.where("stuck").select("node", "size", *narrow))
+        stuck.append(opened.where("stuck").select("node", "id"))
         on = opened.where(~F.col("stuck")).select("node", "path", "id", F.col("size").alias("above"))
         level += 1
         paths = _paths(level, paths)
@@ -239,13 +240,11 @@ def _candidates(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     return materialise(found, "candidates"), left
 
 
-def _confirmed(
-    pairs: DataFrame, documents: DataFrame, key: str, text: str, words: int, percent: int
+def _shingle_sets(
+    ids: DataFrame, documents: DataFrame, key: str, text: str, words: int
 ) -> DataFrame:
-    """The pairs ``a, b`` of ids whose full shingle sets are similar enough. Only the
-    texts that a pair names are read into sets."""
-    ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")).distinct()
-    ids = materialise(ids, "ids")
+    """``id, shingles`` of the texts that ``ids`` names; only those are read into sets."""
+    ids = materialise(ids.distinct(), "ids")
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     named = documents.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
@@ -256,7 +255,15 @@ def _confirmed(
             found = [s.tobytes() for s in tokens.shingle_sets(batch.column(1), words)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "shingles"])
 
-    full = materialise(named.select("id", "text").mapInArrow(sets, "id long, shingles binary"), "sets")
+    return materialise(named.select("id", "text").mapInArrow(sets, "id long, shingles binary"), "sets")
+
+
+def _confirmed(
+    pairs: DataFrame, documents: DataFrame, key: str, text: str, words: int, percent: int
+) -> DataFrame:
+    """The pairs ``a, b`` of ids whose full shingle sets are similar enough."""
+    ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b"))
+    full = _shingle_sets(ids, documents, key, text, words)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -285,34 +292,68 @@ def _apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.where(a != b).select("a", "b")
 
 
-def _block_pairs(stuck: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs within the nodes that do not shrink, between different classes.
+def _joined_up(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """The classes after more links."""
+    stars = classes.select(F.col("id").alias("a"), F.col("component").alias("b"))
+    return materialise(components(stars.unionAll(links)), "classes")
+
+
+def _block_links(
+    stuck: DataFrame, classes: DataFrame, documents: DataFrame, key: str, text: str, words: int, percent: int
+) -> DataFrame:
+    """Links ``a, b`` between different classes within the nodes that do not shrink.
 
-    Most sets of such a node are in its largest class by now. The others meet all sets
-    of the node, block by block; nodes of a single class are left out.
+    Most sets of such a node are in one class by now. Nodes of the same largest class
+    are taken together; the sets outside of that class meet all sets, in blocks of
+    ``BLOCK_ROWS``, on their full shingles. A set gets one link to each class that it
+    is linked to in a block, so a large group sends no more than its classes.
     """
-    own = classes.select("id", F.col("component").alias("_class"))
-    rows = stuck.join(own, "id", "left").withColumn("_class", F.coalesce("_class", "id"))
+    own = classes.select("id", F.col("component").alias("class"))
+    rows = stuck.select("node", "id").join(own, "id", "left").withColumn("class", F.coalesce("class", "id"))
     rows = materialise(rows, "stuck")
-    per_class = rows.groupBy("node", "_class").agg(F.count(F.lit(1)).alias("_n"))
+    per_class = rows.groupBy("node", "class").agg(F.count(F.lit(1)).alias("_n"))
     main = per_class.groupBy("node").agg(
-        F.max(F.struct("_n", "_class"))["_class"].alias("_main"), F.count(F.lit(1)).alias("_classes")
+        F.max(F.struct("_n", "class"))["class"].alias("main"), F.count(F.lit(1)).alias("_classes")
     )
     main = materialise(main.where("_classes > 1").drop("_classes"), "main")
-    rows = rows.join(main, "node")
-    blocks = F.ceil(F.col("size") / BLOCK_ROWS)
-    members = rows.withColumn("_block", F.pmod(F.xxhash64("id"), blocks)).select(
-        "node", "_block", *(F.col(c).alias(f"other_{c}") for c in ("id", "n", "bits_a", "bits_b", "_class"))
+    rows = materialise(rows.join(main, "node").select("main", "id", "class").distinct(), "groups")
+    outside = F.col("class") != F.col("main")
+    sizes = rows.groupBy("main").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("blocks"),
+        F.ceil(F.count(F.when(outside, 1)) / BLOCK_ROWS).alias("asking_blocks"),
     )
-    others = rows.where("_class != _main").withColumn(
-        "_block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
-    )
-    near = others.drop("size", "_main").join(members, ["node", "_block"]).where(
-        (F.col("_class") != F.col("other__class"))
-        & (_agreeing("", "other_") >= LEAST_AGREEING)
-        & _sizes_fit("", "other_", percent)
-    )
-    return near.select(*_pairs(F.col("id"), F.col("other_id"), F.lit(True))).select("a", "b")
+    full = _shingle_sets(rows.select("id"), documents, key, text, words)
+    rows = rows.join(full.distinct(), "id").join(materialise(sizes, "sizes"), "main")
+    spread = lambda n: F.pmod(F.xxhash64("id"), n)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    asked = rows.withColumns({"at": spread(F.col("blocks"))}).withColumn("by", every(F.col("asking_blocks")))
+    asking = rows.where(outside).withColumns({"by": spread(F.col("asking_blocks"))})
+    asking = asking.withColumn("at", every(F.col("blocks")))
+    columns = ["main", "at", "by", "id", "class", "shingles"]
+    both = asked.select(*columns, F.lit(False).alias("asks")).unionAll(asking.select(*columns, F.lit(True).alias("asks")))
+
+    def compare(block: pa.Table) -> pa.Table:
+        asks = block.column("asks").to_numpy()
+        sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in block.column("shingles")]
+        ids, groups = block.column("id").to_numpy(), block.column("class").to_numpy()
+        members = np.flatnonzero(~asks)
+        found: list[tuple[int, int]] = []
+        if len(members):
+            content = np.concatenate([sets[m] for m in members])
+            sizes = np.array([len(sets[m]) for m in members])
+            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            for one in np.flatnonzero(asks):
+                own_set = sets[one]
+                at = np.minimum(np.searchsorted(own_set, content), len(own_set) - 1)
+                shared = np.add.reduceat((own_set[at] == content).astype(np.int64), starts)
+                near = 100 * shared >= percent * (len(own_set) + sizes - shared)
+                near &= groups[members] != groups[one]
+                _, first = np.unique(groups[members[near]], return_index=True)
+                found += [(ids[one], ids[members[near][f]]) for f in first]
+        a, b = zip(*found) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return materialise(both.groupBy("main", "at", "by").applyInArrow(compare, "a long, b long"), "links")
 
 
 def near_duplicates(
@@ -341,13 +382,11 @@ def near_duplicates(
     confirm = lambda p: _confirmed(p, documents, key, text, words, percent)
     links = confirm(pairs.where("likely"))
     classes = materialise(components(links), "classes")
-    rest = _apart(pairs.where(~F.col("likely")), classes)
+    links = confirm(materialise(_apart(pairs.where(~F.col("likely")), classes), "rest"))
+    classes = _joined_up(classes, links)
     if stuck is not None:
-        rest = rest.unionAll(_block_pairs(stuck, classes, percent))
-    more = confirm(materialise(rest.distinct(), "rest"))
-    stars = classes.select(F.col("id").alias("a"), F.col("component").alias("b"))
-    # One id may stand for several sets, if rows repeat it.
-    classes = materialise(components(stars.unionAll(more)), "classes")
+        links = _block_links(stuck, classes, documents, key, text, words, percent)
+        classes = _joined_up(classes, links)
     first = sets.select(*same, F.col("id").alias("_first"))
     own = classes.select(F.col("id").alias("_first"), F.col("component").alias("_class"))
     joined = every.select("id", *same).join(first, same, "left").join(own, "_first", "left")
