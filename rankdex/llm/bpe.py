@@ -27,8 +27,8 @@ _GAPS = re.compile(f"[{_SPACE}]+")
 #: Separators that Python takes for white space and the vocabulary does not.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 #: Text encoded at once, and chunks between white space that a task remembers.
-BLOCK_CHARS = 4 << 20
-KNOWN_CHUNKS = 250_000
+BLOCK_CHARS = 2 << 20
+KNOWN_CHUNKS = 100_000
 
 _NONE = np.int64(1 << 40)
 
