@@ -397,3 +397,14 @@ def near_duplicates(
         component.alias("component_id"),
         F.col("id").eqNullSafe(component).alias("kept"),
     )
+
+
+def one_of_each(
+    documents: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80
+) -> DataFrame:
+    """The rows that ``near_duplicates`` keeps, with all their columns: of every class
+    the one with the smallest id. Rows without id, or without words, all stay."""
+    gone = near_duplicates(documents, key, text, words, percent).where(~F.col("kept"))
+    gone = materialise(gone.select(F.col(key).alias("_gone")).distinct(), "gone")
+    few = gone.count() <= BROADCAST_IDS
+    return documents.join(F.broadcast(gone) if few else gone, F.col(key) == F.col("_gone"), "left_anti")

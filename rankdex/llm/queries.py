@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rankdex.llm import bpe, near_duplicates as near, url_filter, warc
+from rankdex.llm import (
+    bpe,
+    decontamination,
+    language_id,
+    line_spread,
+    near_duplicates as near,
+    order_minhash,
+    quality,
+    suffix_dedup,
+    url_filter,
+    warc,
+)
 from rankdex.scratch import materialise, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,3 +133,77 @@ def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("token_ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@register()
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    model = language_id.fit(documents, ~held_out(F.col("doc_id")))
+    return language_id.predict(documents, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
+@register()
+def op10_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = quality.fit(documents, labels, ~held_out(F.col("doc_id")))
+    return quality.score(documents, model).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@register()
+def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = order_minhash.with_edited(_table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        order_minhash.as_text(F.col("fingerprint")).alias("fingerprint"),
+        order_minhash.as_text(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
+@register(
+    f"""with d as (select doc_id, source, text, string_split(text, chr(10)) ls from documents),
+    l as (select doc_id, source, unnest(ls) line, unnest(range(len(ls))) pos from d),
+    t as (select doc_id, source, line, pos, trim(line) body from l),
+    b as (select body, min((doc_id, pos)) first_place from t where body <> ''
+        group by body having count(distinct source) >= {line_spread.MIN_SITES}),
+    k as (select t.doc_id, t.pos, t.line,
+            first_place is not null and first_place <> (t.doc_id, t.pos) gone
+        from t left join b using (body)),
+    r as (select doc_id, cast(count(*) as bigint) n_lines,
+            cast(count(*) filter (gone) as bigint) n_removed,
+            coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '') kept
+        from k group by doc_id)
+    select doc_id, coalesce(n_lines, 0) n_lines, coalesce(n_removed, 0) n_removed,
+        case when text is not null then sha256(kept) end kept_sha256
+    from documents left join r using (doc_id)"""
+)
+def op8_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_spread.dedup_lines(_table(spark, sf_dir, "documents"), counts=True)
+    return rows.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@register()
+def op9_benchmark_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return decontamination.contaminated(documents, benchmark).drop("row")
+
+
+@register()
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
