@@ -22,8 +22,6 @@ UNDETERMINED = "und"
 BUCKETS = 1 << 14
 #: Bound on the labelled documents per language that a model learns from.
 PER_LANGUAGE = 2_000
-#: Bound on the languages of a model: 64 KB each.
-MAX_LANGUAGES = 1_000
 ROUNDS, SET_ROUNDS = 15, 8
 #: Languages that a document's set may hold.
 MOST = 3
@@ -65,8 +63,9 @@ def fit(
     """The languages, ascending, and a likelihood of each bucket for each of them.
 
     Learns from up to ``per_language`` documents of each language for which ``learn``
-    holds. Their trigrams are counted by the tasks; one row per language and bucket
-    comes to the driver. Without labelled documents there are no languages.
+    holds, and at most ``sampling.MAX_LABELS`` languages, of 64 KB each. Trigrams are
+    counted by the tasks; one row per language and bucket comes to the driver. Without
+    labelled documents there are no languages.
     """
     labelled = documents.where(learn)
     sample = sample_per_label(labelled, key, lang, per_language)
@@ -94,9 +93,7 @@ def fit(
 
     counted = chosen.select(lang, text).mapInArrow(count, "lang string, bucket long, n long")
     found = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    names = sorted(row[0] for row in sample.select(lang).distinct().limit(MAX_LANGUAGES + 1).collect())
-    if len(names) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    names = sorted(row[0] for row in sample.select(lang).distinct().collect())
     table = found.toArrow()
     counts = np.full((len(names), BUCKETS), 0.5)
     at = {name: i for i, name in enumerate(names)}
