@@ -30,8 +30,8 @@ SHARD_BYTES = 2 << 20
 SHARD_CONTEXTS = 1_000
 #: Anchors or texts that may be broadcast, of 8 bytes each.
 BROADCAST_IDS = 2_000_000
-#: Parts of the hashes of an anchor that fills several shards.
-PARTS = 64
+#: An anchor that fills several shards is merged in as many parts, up to these.
+MOST_PARTS = 1_024
 
 _PLACE = np.uint64((1 << 21) - 1)
 
@@ -214,7 +214,9 @@ def repeated_starts(pieces: list[bytes], length: int) -> tuple[np.ndarray, np.nd
     return places, flags[0, places], flags[1, places], np.concatenate([[0], np.cumsum(sizes)])
 
 
-_FOUND = "merge boolean, text_id long, first int, last int, anchor long, string long, only boolean"
+_RANGE = "text_id long, first int, last int"
+_FOUND = _RANGE + ", anchor long, part int, strings binary, text_ids binary, places binary, only binary"
+_FOUND_TYPES = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 4)
 
 
 def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -223,47 +225,54 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _search_shard(shard: pa.Table, length: int) -> pa.Table:
-    """Repeated starts of the contexts in a shard, as ranges of places in their texts,
-    and for anchors that fill several shards a hash of each different string."""
+    """Repeated starts of the contexts in a shard, as ranges of places in their texts.
+    An anchor that fills several shards gives a row for each of its parts besides: the
+    hashes of the different strings found here that fall into the part, with the text
+    and place of one of each, and whether it is alone."""
     pieces = shard.column("content").to_pylist()
     text_ids, firsts = shard.column("text_id").to_numpy(), shard.column("first").to_numpy()
-    anchors, n = shard.column("anchor").to_numpy(), shard.column("n").to_numpy()
-    split = shard.column("split").to_numpy()
+    n, parts = shard.column("n").to_numpy(), shard.column("parts").to_numpy()
     places, twice, first_of, bounds = repeated_starts(pieces, length)
-    sums = _prefix_hashes(np.frombuffer(b"".join(pieces), np.uint8)) if split.any() else None
-    rows: list[list[np.ndarray]] = []
+    rows: list[tuple] = []
+    alone: list[np.ndarray] = []
     for i in range(len(pieces)):
         own = slice(bounds[i], bounds[i + 1])
         if n[i] == 1:  # equal contexts are known to be repeated
-            a, b = _runs(twice[own])
-            if len(a):
-                m = len(a)
-                rows.append([np.zeros(m, bool), np.full(m, text_ids[i]), a + firsts[i], b + firsts[i],
-                             np.zeros(m, np.int64), np.zeros(m, np.int64), np.zeros(m, bool)])
-        if split[i]:
-            at = np.flatnonzero(first_of[own])
-            m = len(at)
-            start = places[own][at]
-            string = _hashes(sums, start, start + length).view(np.int64)
-            only = ~twice[own][at] if n[i] == 1 else np.zeros(m, bool)
-            rows.append([np.ones(m, bool), np.full(m, text_ids[i]), at + firsts[i], at + firsts[i],
-                         np.full(m, anchors[i]), string, only])
-    types = (pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_())
+            rows += [
+                (text_ids[i], a + firsts[i], b + firsts[i], *[None] * 6) for a, b in zip(*_runs(twice[own]))
+            ]
+        alone.append(~twice[own] & (n[i] == 1))
+    if len(parts) and parts[0]:  # then all contexts here are of one anchor
+        sums = _prefix_hashes(np.frombuffer(b"".join(pieces), np.uint8))
+        start = places[first_of]
+        strings = _hashes(sums, start, start + length)
+        piece = np.repeat(np.arange(len(pieces)), np.diff(bounds))[first_of]
+        at = (np.arange(len(places)) - bounds[np.repeat(np.arange(len(pieces)), np.diff(bounds))])[first_of]
+        texts, at = text_ids[piece], (at + firsts[piece]).astype(np.int32)
+        only = np.concatenate(alone)[first_of]
+        part = (strings % np.uint64(parts[0])).astype(np.int64)
+        for p in np.unique(part):
+            of = part == p
+            columns = (strings[of], texts[of], at[of], only[of])
+            rows.append((None, None, None, shard.column("anchor")[0].as_py(), p, *(c.tobytes() for c in columns)))
     names = [f.split()[0] for f in _FOUND.split(", ")]
-    columns = [pa.array(np.concatenate(c) if rows else [], t) for c, t in zip(list(zip(*rows)) or [[]] * 7, types)]
-    return pa.table(dict(zip(names, columns)))
+    columns = list(zip(*rows)) or [()] * len(names)
+    return pa.table({name: pa.array(c, t) for name, c, t in zip(names, columns, _FOUND_TYPES)})
 
 
 def _merge_shards(part: pa.Table) -> pa.Table:
     """Strings that are alone in their shard and found in another: each string's hash
     is searched in the sorted hashes of all shards, which name a string once each."""
-    anchors, strings = (part.column(c).to_numpy() for c in ("anchor", "string"))
-    only = part.column("only").to_numpy()
-    keys = strings ^ tokens.mix(anchors.view(np.uint64)).view(np.int64)
-    ordered = np.sort(keys)
-    asked = keys[only]
+    kinds = {"strings": np.uint64, "text_ids": np.int64, "places": np.int32, "only": np.bool_}
+    strings, texts, places, only = (
+        np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in part.column(name)])
+        for name, kind in kinds.items()
+    )
+    ordered = np.sort(strings)
+    asked = strings[only]
     twice = np.searchsorted(ordered, asked, "right") - np.searchsorted(ordered, asked, "left") > 1
-    return part.select(["text_id", "first", "last"]).filter(pa.array(only)).filter(pa.array(twice))
+    place = pa.array(places[only][twice])
+    return pa.table({"text_id": pa.array(texts[only][twice]), "first": place, "last": place})
 
 
 def _few(ids: DataFrame) -> DataFrame:
@@ -314,16 +323,20 @@ def repeated_ranges(
     size = found.agg(F.sum(F.octet_length("content"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
     split = F.col("k") > SHARD_CONTEXTS
-    salt = F.when(split, F.pmod(F.xxhash64("context"), F.ceil(F.col("k") / SHARD_CONTEXTS))).otherwise(F.lit(-1))
+    fills = F.when(split, F.ceil(F.col("k") / SHARD_CONTEXTS)).otherwise(F.lit(0))
     # An anchor that fills shards has them for itself.
-    shard = F.when(split, F.xxhash64("anchor", salt)).otherwise(F.pmod(F.xxhash64("anchor"), F.lit(shards)))
-    searched = found.select("text_id", "first", "anchor", "n", "content", split.alias("split"), shard.alias("shard"))
-    searched = searched.groupBy("shard").applyInArrow(lambda shard: _search_shard(shard, length), _FOUND)
+    owner = F.when(split, F.col("anchor"))
+    at = F.when(split, F.pmod(F.xxhash64("context"), fills)).otherwise(
+        F.pmod(F.xxhash64("anchor"), F.lit(shards))
+    )
+    searched = found.select(
+        "text_id", "first", "anchor", "n", "content",
+        F.least(fills, F.lit(MOST_PARTS)).cast("int").alias("parts"), owner.alias("owner"), at.alias("at"),
+    ).groupBy("owner", "at").applyInArrow(lambda shard: _search_shard(shard, length), _FOUND)
     searched = materialise(searched, "searched")
-    ranges = ranges.unionAll(searched.where(~F.col("merge")).select("text_id", "first", "last"))
-    part = F.pmod(F.col("string"), F.lit(PARTS)).alias("part")
-    merged = searched.where("merge").select("text_id", "first", "last", "anchor", "string", "only", part)
-    merged = merged.groupBy("anchor", "part").applyInArrow(_merge_shards, "text_id long, first int, last int")
+    ranges = ranges.unionAll(searched.where(F.col("anchor").isNull()).select("text_id", "first", "last"))
+    merged = searched.where(F.col("anchor").isNotNull()).drop("text_id", "first", "last")
+    merged = merged.groupBy("anchor", "part").applyInArrow(_merge_shards, _RANGE)
     ranges = ranges.unionAll(merged).distinct()
     return materialise(ranges.groupBy("text_id").agg(F.collect_list(F.struct("first", "last")).alias("ranges")), "ranges")
 
