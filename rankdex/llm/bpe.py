@@ -20,6 +20,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from rankdex.llm import tokens
+
 # White space and the pieces of a text, as the vocabulary file has them.
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
@@ -207,6 +209,42 @@ def _blocks(column: pa.Array) -> Iterator[list[str]]:
         yield texts
 
 
+def decode_ids(packed: bytes | memoryview, symbols: list[bytes]) -> bytes:
+    """The symbols of packed ids with a blank between them; ids beyond them are left out."""
+    ids = np.frombuffer(packed, "<u4")
+    if len(ids) and ids.max() >= len(symbols):
+        ids = ids[ids < len(symbols)]
+    return b" ".join(map(symbols.__getitem__, ids.tolist()))
+
+
+def _run(
+    documents: DataFrame, vocabulary_path: str, key: str, text: str, decoded: bool
+) -> DataFrame:
+    vocabulary = documents.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary_path))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, symbols = Encoder(vocabulary.value), vocabulary.value.symbols
+        for batch in batches:
+            at = 0
+            for texts in _blocks(batch.column(1)):
+                packed = encoder.encode(texts)
+                columns = [
+                    batch.column(0).slice(at, len(texts)),
+                    pa.array([len(p) // 4 for p in packed], pa.int64()),
+                    pa.array(packed, pa.binary()),
+                ]
+                if decoded:
+                    columns.append(pa.array([decode_ids(p, symbols) for p in packed], pa.binary()).cast(pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=["k", "n", "ids", "decoded"][: len(columns)])
+                at += len(texts)
+            tokens.release()
+
+    kind = documents.schema[key].dataType.simpleString()
+    rows = documents.select(F.col(key).alias("k"), F.col(text).alias("t"))
+    out = rows.mapInArrow(run, f"k {kind}, n long, ids binary" + ", decoded string" * decoded)
+    return out.withColumnsRenamed({"k": key, "n": "n_tokens", "ids": "token_ids"})
+
+
 def encode(
     documents: DataFrame, vocabulary_path: str, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -218,23 +256,15 @@ def encode(
     tokens. Rows are independent: nothing is shuffled, and repeated rows and NULL
     keys stay as they are.
     """
-    vocabulary = documents.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary_path))
+    return _run(documents, vocabulary_path, key, text, decoded=False)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary.value)
-        for batch in batches:
-            at = 0
-            for texts in _blocks(batch.column(1)):
-                packed = encoder.encode(texts)
-                sizes = pa.array([len(p) // 4 for p in packed], pa.int64())
-                keys = batch.column(0).slice(at, len(texts))
-                yield pa.RecordBatch.from_arrays([keys, sizes, pa.array(packed, pa.binary())], names=["k", "n", "ids"])
-                at += len(texts)
 
-    kind = documents.schema[key].dataType.simpleString()
-    rows = documents.select(F.col(key).alias("k"), F.col(text).alias("t"))
-    out = rows.mapInArrow(run, f"k {kind}, n long, ids binary")
-    return out.select(F.col("k").alias(key), F.col("n").alias("n_tokens"), F.col("ids").alias("token_ids"))
+def round_trip(
+    documents: DataFrame, vocabulary_path: str, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``encode`` and ``decode`` in one pass: ``key, n_tokens, token_ids, decoded``. A
+    task then needs one Python worker for both."""
+    return _run(documents, vocabulary_path, key, text, decoded=True)
 
 
 def decode(
@@ -249,11 +279,7 @@ def decode(
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         symbols = vocabulary.value.symbols
         for column in batches:
-            texts = []
-            for packed in column:
-                ids = np.frombuffer(packed.as_buffer(), "<u4") if packed.is_valid else np.zeros(0, "<u4")
-                ids = ids[ids < len(symbols)] if len(ids) and ids.max() >= len(symbols) else ids
-                texts.append(b" ".join(map(symbols.__getitem__, ids.tolist())))
+            texts = [decode_ids(p.as_buffer() if p.is_valid else b"", symbols) for p in column]
             yield pa.array(texts, pa.binary()).cast(pa.string())
 
     return encoded.withColumn(decoded, run(F.col(token_ids)))

@@ -86,6 +86,7 @@ def sketches(documents: DataFrame, key: str, text: str, words: int) -> DataFrame
             columns = [batch.column(0), *(pa.array(c, pa.int64()) if not isinstance(c, pa.Array) else c for c in columns)]
             names = ["id", "n", "set_a", "set_b", "tokens", "bits_a", "bits_b"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
+            tokens.release()
 
     return documents.select(F.col(key).cast("long"), F.col(text)).mapInArrow(sketch, schema)
 
@@ -275,6 +276,7 @@ def _confirmed(
                 shared = int((both[1:] == both[:-1]).sum())
                 keep.append(100 * shared >= percent * (len(both) - shared))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            tokens.release()
 
     joined = pairs.select("a", "b")
     for end in ("a", "b"):

@@ -258,6 +258,7 @@ def scores(model: Model | float, text: Column) -> Column:
             yield pa.StructArray.from_arrays(
                 [pa.array(np.concatenate(totals)), per_line], names=["score", "line_scores"]
             )
+            tokens.release()
 
     return run(text)
 

@@ -125,9 +125,7 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register()
 def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = word_vocabulary()
-    encoded = bpe.encode(_table(spark, sf_dir, "documents"), vocabulary)
-    return bpe.decode(encoded, vocabulary).select(
+    return bpe.round_trip(_table(spark, sf_dir, "documents"), word_vocabulary()).select(
         "doc_id",
         "n_tokens",
         F.sha2("token_ids", 256).alias("ids_sha256"),

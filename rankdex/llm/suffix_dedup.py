@@ -106,6 +106,7 @@ def _anchors(documents: DataFrame, key: str, text: str, length: int) -> DataFram
                         ],
                         names=["key", "text_id", "first", "last", "anchor", "context"],
                     )
+            tokens.release()
 
     rows = documents.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("text_id"), F.col(text))
     return rows.mapInArrow(run, schema)

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes hashed at once; longer texts are cut at white space.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[[9, 10, 11, 12, 13, 32]] = False
@@ -49,6 +49,11 @@ def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)), offsets
 
 
+def release() -> None:
+    """Give memory of past batches back, which idle Python workers would keep."""
+    pa.default_memory_pool().release_unused()
+
+
 def row_groups(offsets: np.ndarray, limit: int = BLOCK) -> Iterator[tuple[int, int]]:
     """Ranges of rows that hold about ``limit`` bytes, or one row."""
     at, n = 0, len(offsets) - 1

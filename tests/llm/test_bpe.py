@@ -78,6 +78,8 @@ def test_rows_stay_as_they_are(frame, library):
     assert found == sorted(
         [(1, 0, ""), (2, 0, ""), (2, 0, ""), (None, 2, "the</w> cat</w>"), (3, 50_000, the)], key=repr
     )
+    both = bpe.round_trip(frame(rows), word_vocabulary())
+    assert sorted(map(tuple, both.collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
     assert bpe.encode(frame(rows).limit(0), word_vocabulary()).count() == 0
 
 
