@@ -39,9 +39,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every document, and digests of them and of the decoded text."""
-    vocabulary = word_vocabulary()
-    decoded = bpe.decode(bpe.encode(docs, vocabulary), vocabulary)
-    return decoded.select(
+    return bpe.round_trip(docs, word_vocabulary()).select(
         "doc_id",
         "n_tokens",
         "token_ids",
