@@ -29,10 +29,10 @@ _GAPS = re.compile(f"[{_SPACE}]+")
 #: Separators that Python takes for white space and the vocabulary does not.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 #: Text encoded at once, and chunks between white space that a task remembers.
-BLOCK_CHARS = 2 << 20
+BLOCK_CHARS = 1 << 20
 KNOWN_CHUNKS = 100_000
 
-_NONE = np.int64(1 << 40)
+_NONE = np.int32(2**31 - 1)
 
 
 def _byte_letters() -> list[str]:
@@ -58,16 +58,16 @@ class Vocabulary:
         for symbol, i in [*ids.items(), *self.special.items()]:
             self.symbols[i] = symbol.encode()
         letters = _byte_letters()
-        self.inner = np.array([ids.get(c, -1) for c in letters], np.int64)
-        self.last = np.array([ids.get(c + suffix, -1) for c in letters], np.int64)
+        self.inner = np.array([ids.get(c, -1) for c in letters], np.int32)
+        self.last = np.array([ids.get(c + suffix, -1) for c in letters], np.int32)
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         pairs = np.array([ids[a] * self.width + ids[b] for a, b in merges], np.int64)
-        self.merged = np.array([ids[a + b] for a, b in merges], np.int64)
-        self.rank_order = np.argsort(pairs, kind="stable")
+        self.merged = np.array([ids[a + b] for a, b in merges], np.int32)
+        self.rank_order = np.argsort(pairs, kind="stable").astype(np.int32)
         self.pairs = pairs[self.rank_order]
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        wanted = left * self.width + right
+        wanted = left.astype(np.int64) * self.width + right
         at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
         return np.where(self.pairs[at] == wanted, self.rank_order[at], _NONE)
 
@@ -80,12 +80,12 @@ def encode_pieces(pieces: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarr
     content = np.frombuffer(b"".join(pieces), np.uint8)
     n = len(content)
     if not n:
-        return np.zeros(0, np.int64), at
+        return np.zeros(0, np.int32), at
     symbol = vocabulary.inner[content]
     symbol[at[1:] - 1] = vocabulary.last[content[at[1:] - 1]]
-    after = np.arange(1, n + 1)
+    after = np.arange(1, n + 1, dtype=np.int32)
     after[at[1:] - 1] = -1
-    before = np.arange(-1, n - 1)
+    before = np.arange(-1, n - 1, dtype=np.int32)
     before[at[:-1]] = -1
     alive = symbol >= 0  # a byte that the vocabulary lacks leaves no symbol
     for gone in np.flatnonzero(~alive):
@@ -238,6 +238,8 @@ def _run(
                 yield pa.RecordBatch.from_arrays(columns, names=["k", "n", "ids", "decoded"][: len(columns)])
                 at += len(texts)
             tokens.release()
+        del encoder
+        tokens.release()
 
     kind = documents.schema[key].dataType.simpleString()
     rows = documents.select(F.col(key).alias("k"), F.col(text).alias("t"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import random
 from collections.abc import Iterator
 
@@ -50,8 +52,11 @@ def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def release() -> None:
-    """Give memory of past batches back, which idle Python workers would keep."""
+    """Give memory of past batches back to the system: Python workers live on between
+    tasks, and idle ones would keep it."""
     pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library than glibc
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def row_groups(offsets: np.ndarray, limit: int = BLOCK) -> Iterator[tuple[int, int]]:
