@@ -17,8 +17,10 @@ MIN_SITES = 10
 LOG_REGISTERS = 10
 #: Estimates within this share of the threshold are replaced by exact counts.
 NEAR = 0.2
-#: Line hashes that may be broadcast, of 16 bytes each.
+#: Line hashes that may be broadcast, of 16 bytes each, and places of lines to remove,
+#: of 4 bytes each and 24 for their row.
 BROADCAST_LINES = 1_000_000
+BROADCAST_PLACES = 5_000_000
 
 _LINE = ["_h1", "_h2"]
 
@@ -100,9 +102,14 @@ def dedup_lines(
         F.collect_set("_place._at").alias("_gone")
     )
     gone = materialise(gone, "gone")
+    n_rows, n_places = gone.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("_gone")), F.lit(0))).first()
+    if n_rows <= BROADCAST_LINES and n_places <= BROADCAST_PLACES:
+        gone = F.broadcast(gone)
     rows = documents.select(F.struct("*").alias("_doc"), F.xxhash64(key, text).alias("_row"))
     joined = rows.join(
-        gone, (rows["_row"] == gone["_row"]) & F.col(f"_doc.{key}").eqNullSafe(gone["_key"]), "left"
+        gone.withColumnRenamed("_row", "_row_"),
+        (F.col("_row") == F.col("_row_")) & F.col(f"_doc.{key}").eqNullSafe(F.col("_key")),
+        "left",
     ).select("_doc", "_gone", split_lines(F.col(f"_doc.{text}")).alias("_lines"))
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
     cleaned = F.when(
