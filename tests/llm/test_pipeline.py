@@ -1,0 +1,64 @@
+import hashlib
+
+import numpy as np
+from pyspark.sql import functions as F
+from test_near_duplicates import brute_force, shingles
+from test_native import deduped, passages
+from tokenizers import Tokenizer
+
+import __spark_entry__ as contract
+import corpus_pipeline
+from rankdex.llm import quality
+from rankdex.llm.queries import held_out, word_vocabulary
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_every_stage_against_plain_python(spark, table):
+    docs, columns = table("documents"), table("documents").columns
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        before = [tuple(r) for r in docs.select("doc_id", "text", "source").collect()]
+        rows = [r[:2] for r in before]
+        out = stage(spark, docs, SF)
+        after = out.collect()
+        kept[name] = len(after)
+        if name == "quality":
+            model = quality.fit(docs, table("labels"), ~held_out(F.col("doc_id")))
+            good = {r.doc_id for r in quality.score(docs, model).where("score >= 0.5").collect()}
+            assert {r.doc_id for r in after} == good
+        elif name == "lines":
+            expected = {k: text for k, text, *_ in deduped(before, 10)}
+            assert {r.doc_id: r.text for r in after} == expected
+            assert all(r.n_chars == len(r.text) for r in after)
+        elif name == "near_duplicates":
+            component = brute_force(rows, 5)
+            assert {r.doc_id for r in after} == {i for i, c in component.items() if i == c}
+            assert all(shingles(t, 5) for i, t in rows if component[i] != i)
+        elif name == "benchmark":
+            items = [tuple(r) for r in table("benchmark").select("item_id", "text").collect()]
+            found = passages(rows, items)
+            gone = {i for i, _ in rows} - {r.doc_id for r in after}
+            assert {d for (d, _), v in found.items() if v >= 0.9} <= gone <= {d for d, _ in found}
+        else:
+            library = Tokenizer.from_file(word_vocabulary())
+            texts = dict(rows)
+            for r in after:
+                ids = library.encode(texts[r.doc_id], add_special_tokens=False).ids
+                assert r.n_tokens == len(ids)
+                assert bytes(r.token_ids) == np.array(ids, "<u4").tobytes()
+                assert r.ids_sha256 == hashlib.sha256(r.token_ids).hexdigest()
+        if name != "tokens":
+            assert out.columns == columns
+        path = f"{spark.conf.get('spark.checkpoint.dir')}/stage-{name}"
+        out.write.mode("overwrite").parquet(path)
+        docs = spark.read.parquet(path)
+    assert 0 < kept["tokens"] == kept["benchmark"] < kept["near_duplicates"] < kept["lines"] == kept["quality"] < 200
+    assert corpus_pipeline.run(spark, SF).count() == kept["tokens"]
+
+
+def test_queries_are_registered():
+    names = contract.queries()
+    for n in range(1, 11):
+        assert len([q for q in names if q.startswith(f"op{n}_")]) == 1
+    assert "pipeline" in names

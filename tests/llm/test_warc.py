@@ -1,0 +1,80 @@
+import base64
+import gzip
+import hashlib
+from pathlib import Path
+
+import pytest
+
+from rankdex.llm import warc
+from rankdex.scratch import materialise
+
+SCHEMA = "page_id long, url string, html string"
+ROWS = [
+    (5, "http://a/", "same é body"), (3, "http://b/", "same é body"), (9, "http://c/", "same é body"),
+    (1, None, None), (2, "http://d/\r\nX-Evil: 1", ""), (4, "http://e/", "WARC/1.1\r\nContent-Length: 3\r\n\r\nxyz\r\n\r\n"),
+    (6, "http://f/", "long " * 200_000), (7, "http://g/", "x"), (7, "http://g/", "x"), (8, "http://h/", "x"),
+    (None, "http://i/", "x"), (None, "http://j/", "alone"), (None, "http://k/", "alone"), (10, "ünï", "\n\r\n\r\n"),
+]
+
+
+def digest(text):
+    return base64.b32encode(hashlib.sha1((text or "").encode()).digest()).decode()
+
+
+def plain(rows, least=0):
+    found = []
+    for key, url, html in rows:
+        body = (html or "").encode()
+        same = [k for k, _, h in rows if (h or "") == (html or "") and k is not None]
+        first = min(same) if same and len(body) >= least else None
+        revisit = first is not None and key != first
+        found.append((key, len(body), digest(html), "revisit" if revisit else "response", first if revisit else None))
+    return sorted(found, key=repr)
+
+
+def trip(spark, df, path, **options):
+    records = options.pop("records_per_archive", warc.RECORDS_PER_ARCHIVE)
+    warc.write_archives(warc.resolve_revisits(df, **options), path, records_per_archive=records)
+    return materialise(warc.read_archives(spark, path), "headers")
+
+
+@pytest.mark.parametrize("least", [0, 2])
+def test_round_trip(spark, frame, tmp_path, least):
+    headers = trip(spark, frame(ROWS, SCHEMA), str(tmp_path / "w"), least_bytes=least, records_per_archive=3)
+    found = warc.follow_revisits(headers).collect()
+    rows = [(r.id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in found]
+    assert sorted(rows, key=repr) == plain(ROWS, least)
+    assert {r.url for r in found if r.id == 2} == {"http://d/%0D%0AX-Evil: 1"}
+    assert {r.url for r in found if r.id == 1} == {None}
+
+
+def test_payloads_come_back(spark, frame, tmp_path):
+    path = str(tmp_path / "w")
+    trip(spark, frame(ROWS, SCHEMA), path)
+    found = warc.read_archives(spark, path, payloads=True).where("record_type = 'response'").collect()
+    assert {r.id: bytes(r.payload).decode() for r in found if r.id} == {
+        k: h or "" for k, _, h in ROWS if k in (1, 3, 4, 6, 7, 10) or k == 1
+    }
+
+
+def test_archives_are_gzipped_records(spark, frame, tmp_path):
+    trip(spark, frame(ROWS, SCHEMA), str(tmp_path / "w"))
+    files = list(Path(tmp_path / "w").glob("part-*.gz"))
+    content = b"".join(gzip.decompress(f.read_bytes()) for f in files)
+    assert content.startswith(b"WARC/1.1\r\nWARC-Type: ")
+    assert content.count(b"WARC-Record-ID: <urn:uuid:") == len(ROWS)
+    assert len(list(warc.parse_records(content))) == len(ROWS)
+
+
+def test_damage_fails(spark, frame, tmp_path):
+    trip(spark, frame([(1, "u", "payload")], SCHEMA), str(tmp_path / "w"))
+    content = gzip.decompress(next(Path(tmp_path / "w").glob("part-*.gz")).read_bytes())
+    for i, broken in enumerate((content.replace(b"payload", b"pay1oad"), content[:-12], b"junk" + content)):
+        (tmp_path / f"b{i}").mkdir()
+        (tmp_path / f"b{i}" / "x.warc").write_bytes(broken)
+        with pytest.raises(Exception, match="damaged|cut short|not a WARC"):
+            warc.read_archives(spark, str(tmp_path / f"b{i}")).collect()
+
+
+def test_empty_table(spark, frame):
+    assert warc.resolve_revisits(frame([], SCHEMA)).count() == 0
