@@ -26,7 +26,7 @@ from oracle_parts import (  # noqa: E402
 )
 from rankdex.functions.literals import normalise, related_entries  # noqa: E402
 from rankdex.functions.text import replace_first, valid_query  # noqa: E402
-from rankdex.operators.lookup import missing  # noqa: E402
+from rankdex.operators.lookup import Limits, fetch, missing  # noqa: E402
 from rankdex.operators.pairing import cogroup, pair_by_index, side_sizes  # noqa: E402
 from rankdex.operators.postings import inverted_index, read_heads, write_index  # noqa: E402
 from rankdex.operators.ranking import (  # noqa: E402
@@ -41,7 +41,7 @@ from rankdex.plans.drilldown import detail_lookup, expand_related, search_topics
 from rankdex.plans.keyword_search import search, search_pages  # noqa: E402
 from rankdex.plans.popularity import load_popularity, pair_by_popularity  # noqa: E402
 from rankdex.scratch import materialise, scratch_path  # noqa: E402
-from rankdex.sources.documents import read_documents  # noqa: E402
+from rankdex.sources.documents import DOCUMENT_SCHEMA, read_documents  # noqa: E402
 from rankdex.sources.edges import read_edges  # noqa: E402
 from rankdex.sources.keyed_table import KeyedTable  # noqa: E402
 from rankdex.sources.rows import local_rows  # noqa: E402
@@ -189,7 +189,7 @@ def _side_sizes(spark, sf_dir):
     """with r as (
         select o_custkey k, 0 side, o_orderkey v from orders
         union all select l_suppkey, 1, l_orderkey from lineitem),
-    n as (select *, (row_number() over (order by k, side, v) - 1) // 500 chunk from r)
+    n as (select *, (row_number() over (partition by k order by side, v) - 1) // 500 chunk from r)
     select k "key", chunk,
         coalesce(string_agg(cast(v as varchar), ',' order by v) filter (where side = 0), '')
             left_values,
@@ -197,10 +197,26 @@ def _side_sizes(spark, sf_dir):
             right_values
     from n group by 1, 2"""
 )
+def cogroup_chunks(spark, sf_dir):
+    """Keys of more than 500 values in chunks, the others whole."""
+    return _cogroup_text(spark, sf_dir, chunk_rows=500)
+
+
+@register(
+    """with l as (select o_custkey k, array_agg(o_orderkey order by o_orderkey) vs from orders group by 1),
+    r as (select l_suppkey k, array_agg(l_orderkey order by l_orderkey) vs from lineitem group by 1)
+    select k "key", 0 chunk, coalesce(array_to_string(l.vs, ','), '') left_values,
+        coalesce(array_to_string(r.vs, ','), '') right_values
+    from l full join r using (k)"""
+)
 def cogroup_lists(spark, sf_dir):
+    return _cogroup_text(spark, sf_dir)
+
+
+def _cogroup_text(spark, sf_dir, **options):
     orders = _table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "key")
     lineitem = _table(spark, sf_dir, "lineitem").withColumnRenamed("l_suppkey", "key")
-    groups = cogroup(orders, lineitem, "key", "o_orderkey", "l_orderkey", chunk_rows=500)
+    groups = cogroup(orders, lineitem, "key", "o_orderkey", "l_orderkey", **options)
 
     def text(values: str) -> Column:
         return F.array_join(F.col(values).cast("array<string>"), ",").alias(values)
@@ -219,6 +235,16 @@ def edge_text_parse(spark, sf_dir):
     return read_edges(spark, path)
 
 
+@register("select l_partkey followed, l_suppkey follower from lineitem where l_linenumber <> 1")
+def edge_text_drop(spark, sf_dir):
+    """Lines that are no edges, here every first line of an order, left out."""
+    path = scratch_path(spark, "edges")
+    broken = F.when(F.col("l_linenumber") == 1, F.lit("x")).otherwise(F.col("l_partkey").cast("string"))
+    lines = F.concat_ws(" ", broken, "l_suppkey")
+    _table(spark, sf_dir, "lineitem").select(lines.alias("value")).write.text(path)
+    return read_edges(spark, path, mode="drop")
+
+
 @register(
     """select doc_id talk_id, text description, 'say "' || source || '"' title, '' speaker_1,
         n_chars views, n_chars // 60 duration, '[''' || lang || ''', ''x'']' topics,
@@ -247,7 +273,7 @@ def csv_by_header(spark, sf_dir):
 
 @register(
     """select p.code, count(*) orders
-    from orders join (values ('1-URGENT', 'a'), ('2-HIGH', 'b'), ('5-LOW', 'c')) p (name, code)
+    from orders left join (values ('1-URGENT', 'a'), ('2-HIGH', 'b'), ('5-LOW', 'c')) p (name, code)
         on o_orderpriority = p.name
     group by 1""",
     "local_rows",
@@ -258,7 +284,7 @@ def _local_rows(spark, sf_dir):
         [("1-URGENT", "a"), ("2-HIGH", "b"), ("5-LOW", "c")],
         "o_orderpriority string not null, code string not null",
     )
-    orders = _table(spark, sf_dir, "orders").join(F.broadcast(codes), "o_orderpriority")
+    orders = _table(spark, sf_dir, "orders").join(F.broadcast(codes), "o_orderpriority", "left")
     return orders.groupBy("code").agg(F.count(F.lit(1)).alias("orders"))
 
 
@@ -340,8 +366,9 @@ def keyed_table(spark, sf_dir):
     table = _scratch_table(spark, "k", "k long, s string, n long, note string")
     table.put(_base(spark, sf_dir))
     table.put(_puts(spark, sf_dir), order_by=_PUT_ORDER)
-    table.add(_deltas(spark, sf_dir), "n")
-    return table.read().drop("o_orderdate")
+    again = KeyedTable(spark, table.name, "k", "k long, s string, n long, note string", buckets=16)
+    again.add(_deltas(spark, sf_dir), "n")
+    return again.read().drop("o_orderdate")
 
 
 @register(
@@ -357,6 +384,45 @@ def popularity_load(spark, sf_dir):
     return table.read()
 
 
+@register(
+    f"""with {PAIRING('n_chars desc')}
+    select doc_id talk_id, text description, 'a ' || source title, '' speaker_1, n_chars views,
+        n_chars // 60 duration, '[]' topics, '{{}}' related_talks, 'https://' || lang url, social_id
+    from documents left join paired using (doc_id)"""
+)
+def popularity_load_files(spark, sf_dir):
+    """The whole load, from an edge file and a CSV to the stored table."""
+    edge_path, csv_path = scratch_path(spark, "edges"), scratch_path(spark, "csv")
+    edges = _table(spark, sf_dir, "lineitem").select(F.concat_ws(" ", "l_partkey", "l_suppkey"))
+    edges.write.text(edge_path)
+    documents = _table(spark, sf_dir, "documents").select(
+        F.col("text").alias("description"), F.col("n_chars").alias("views"), F.lit("").alias("speaker_1"),
+        F.col("doc_id").alias("talk_id"), F.format_string("a %s", "source").alias("title"),
+        F.floor(F.col("n_chars") / 60).alias("duration"), F.lit("[]").alias("topics"),
+        F.lit("{}").alias("related_talks"), F.format_string("https://%s", "lang").alias("url"),
+    )
+    documents.write.option("header", True).option("escape", '"').csv(csv_path)
+    table = _scratch_table(spark, "talk_id", DOCUMENT_SCHEMA.simpleString()[len("struct<") : -1])
+    load_popularity(table, read_documents(spark, csv_path), read_edges(spark, edge_path))
+    return table.read()
+
+
+@register(
+    """select o_orderkey, doc_id, lang from documents join (
+        select o_orderkey, case when o_orderkey % 3 = 0 then 7 else o_custkey % 1500 end doc_id
+        from orders) using (doc_id)"""
+)
+def fetch_hot_keys(spark, sf_dir):
+    """Documents of orders, a third of which ask for the same one, by the way that
+    neither side is small enough to be broadcast."""
+    hot = F.when(F.col("o_orderkey") % 3 == 0, F.lit(7)).otherwise(F.col("o_custkey") % 1500)
+    asked = _table(spark, sf_dir, "orders").select("o_orderkey", hot.cast("long").alias("doc_id"))
+    limits = Limits(rows_per_key=100, broadcast_rows=0, broadcast_bytes=0, broadcast_ids=0, filter_keys=0)
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "lang")
+    found = fetch(materialise(asked, "asked"), documents, "doc_id", "o_orderkey", limits)
+    return found.select("o_orderkey", "doc_id", "lang")
+
+
 # --- nested text columns ----------------------------------------------------------
 
 
@@ -387,6 +453,28 @@ def topics_parse(spark, sf_dir):
     )
 
 
+@register(
+    """select doc_id, case when doc_id % 4 = 0 then lang end first_topic,
+        doc_id % 4 <> 0 topics_parse_error, doc_id % 4 <> 0 related_parse_error
+    from documents"""
+)
+def broken_parse(spark, sf_dir):
+    """Lists and dicts with something behind them, or one within them, are not read."""
+    topics = F.concat(F.lit("['"), "lang", F.lit("', 'x'"))
+    related = F.concat(F.lit("{"), F.col("doc_id").cast("string"), F.lit(": 'x'"))
+    ends = F.array(*(F.lit(end) for end in ("]", "] junk", "], 5", ", ['b']]")))
+    dict_ends = F.array(*(F.lit(end) for end in ("}", "} junk", "}}", ", 3: ['b']}")))
+    which = (F.col("doc_id") % 4).cast("int")
+    documents = _table(spark, sf_dir, "documents").select(
+        "doc_id",
+        F.concat(topics, F.get(ends, which)).alias("topics"),
+        F.concat(related, F.get(dict_ends, which)).alias("related"),
+    )
+    return normalise(documents, lists=["topics"], maps=["related"]).select(
+        "doc_id", F.get("topics", F.lit(0)).alias("first_topic"), "topics_parse_error", "related_parse_error"
+    )
+
+
 # Keys may repeat (last one wins) and need not be in order; titles hold an apostrophe.
 _RELATED_SQL = """
     given as (
@@ -445,21 +533,40 @@ def host_rewrite(spark, sf_dir):
 
 
 @register(
-    r"""select request_id, doc_id, lang, n_chars from (
-        select o_orderkey request_id, try_cast(regexp_extract(raw_id, '^\s*([+-]?[0-9]+)', 1) as bigint) doc_id
-        from (select o_orderkey, case when o_orderstatus = 'P' then 'x' else ' ' end
-            || o_custkey || 'abc' raw_id from orders))
+    """select request_id, doc_id, lang first_topic, doc_id + 1 first_related, 't ' || lang related_title,
+        'https://embed.example.com/' || lang url
+    from (select o_orderkey request_id, case when o_orderkey % 6 < 4 then o_custkey end doc_id from orders)
     join documents using (doc_id)""",
     "detail_lookup",
 )
 def _detail_lookup(spark, sf_dir):
-    blank = F.when(F.col("o_orderstatus") == "P", "x").otherwise(" ")
+    """Ids as text in all forms, and their documents with parsed columns."""
+    number = F.col("o_custkey").cast("string")
+    forms = F.array(
+        F.concat(F.lit(" "), number, F.lit("abc")), F.concat(F.lit("0x"), F.hex("o_custkey"), F.lit("g")),
+        F.concat(F.lit("\t+"), number), F.concat(F.lit("\u00a0"), number, F.lit(".5")),
+        F.concat(F.lit("0xg"), number), F.concat(F.lit("x"), number),
+    )
     requests = _table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("request_id"),
-        F.concat(blank, F.col("o_custkey").cast("string"), F.lit("abc")).alias("raw_id"),
+        F.get(forms, (F.col("o_orderkey") % 6).cast("int")).alias("raw_id"),
+    )
+    documents = _table(spark, sf_dir, "documents").select(
+        "doc_id",
+        F.format_string("['%s', 'x']", "lang").alias("topics"),
+        F.format_string("{%d: 't %s'}", F.col("doc_id") + 1, "lang").alias("related"),
+        F.format_string("https://www.example.com/%s", "lang").alias("url"),
+    )
+    hosts = {"url": ("www.example.com", "embed.example.com")}
+    found = detail_lookup(requests, documents, lists=["topics"], maps=["related"], hosts=hosts)
+    return found.select(
+        "request_id",
+        "doc_id",
+        F.get("topics", F.lit(0)).alias("first_topic"),
+        F.get(F.map_keys("related"), F.lit(0)).alias("first_related"),
+        F.get(F.map_values("related"), F.lit(0)).alias("related_title"),
+        "url",
     )
-    documents = _table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
-    return detail_lookup(requests, documents)
 
 
 # --- index and search -------------------------------------------------------------
@@ -569,6 +676,50 @@ def search_labels(spark, sf_dir):
     return pages.drop("hits")
 
 
+_SHORT_QUERIES = r"""
+    q as (select item_id query_id, case item_id % 4 when 0 then '  ' when 1 then 'qqq zzzqqq'
+        when 2 then regexp_extract(text, '(\p{L}+)\P{L}*$', 1) || ' zzz'
+        else regexp_replace(text, '[^\p{L}]+', ' ', 'g') end query from benchmark)"""
+
+
+@register(
+    f"""with {WORDS}, idx as (select doc_id, w keyword from words), {_SHORT_QUERIES}, {UNSTEMMED_HITS}
+    select query_id, 5 page, 61 low, cast(60 + count(rk) as integer) high,
+        coalesce(string_agg(cast(doc_id as varchar), ',' order by rk), '') hits
+    from q left join (select * from hits where rk between 61 and 75) using (query_id) group by 1"""
+)
+def search_short_pages(spark, sf_dir):
+    """Last pages of queries without words, without hits, with few and with many."""
+    text, which = F.col("text"), F.col("item_id") % 4
+    few = F.concat(F.regexp_extract(text, r"(\p{L}+)\P{L}*$", 1), F.lit(" zzz"))
+    query = F.when(which == 0, "  ").when(which == 1, "qqq zzzqqq").when(which == 2, few)
+    queries = _table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").alias("query_id"),
+        query.otherwise(F.regexp_replace(text, r"[^\p{L}]+", " ")).alias("query"),
+    )
+    pages = search_pages(queries, _index(spark, sf_dir, stem=False), 5, stem=False)
+    return pages.withColumn("hits", F.array_join(F.col("hits").cast("array<string>"), ","))
+
+
+@register(
+    f"""with {WORDS}, idx as (select doc_id, w keyword from words),
+    q as (select * from (select item_id query_id, case when item_id % 2 = 0
+            then regexp_extract(text, '^([A-Za-z]+ ?[A-Za-z]*)', 1) else text end query from benchmark)
+        where regexp_matches(query, '^[A-Za-z ]+$')), {UNSTEMMED_HITS}
+    select query_id, cast(count(rk) as integer) high
+    from q left join (select * from hits where rk between 1 and 15) using (query_id) group by 1"""
+)
+def search_only_valid(spark, sf_dir):
+    """Of whole texts and of their first words as queries, those of letters and spaces."""
+    first = F.regexp_extract("text", "^([A-Za-z]+ ?[A-Za-z]*)", 1)
+    queries = _table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").alias("query_id"),
+        F.when(F.col("item_id") % 2 == 0, first).otherwise(F.col("text")).alias("query"),
+    )
+    pages = search_pages(queries, _index(spark, sf_dir, stem=False), stem=False, only_valid=True)
+    return pages.select("query_id", "high")
+
+
 @register(
     f"""with {STEMMED_INDEX}, {QUERIES}, {HITS}
     select doc_id, count(*) n from hits

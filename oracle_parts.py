@@ -1,12 +1,27 @@
 """Common table expressions for the SQL side of ``__spark_entry__``.
 
-The stemmer here is written from the published algorithm with regular expressions,
-apart from the one in ``rankdex.functions.porter``, so that each checks the other.
+The stemmer here is written from the published algorithm with regular expressions and
+tables of its own, apart from the one in ``rankdex.functions.porter``, so that each
+checks the other.
 """
 
 from __future__ import annotations
 
-from rankdex.functions.porter import STEP_2, STEP_3, STEP_4
+# The suffixes of the published steps 2, 3 and 4.
+STEP_2 = dict(
+    pair.split(":")
+    for pair in (
+        "ational:ate tional:tion enci:ence anci:ance izer:ize bli:ble alli:al entli:ent eli:e "
+        "ousli:ous ization:ize ation:ate ator:ate alism:al iveness:ive fulness:ful ousness:ous "
+        "aliti:al iviti:ive biliti:ble logi:log"
+    ).split()
+)
+STEP_3 = dict(
+    pair.split(":") for pair in "icate:ic ative: alize:al iciti:ic ical:ic ful: ness:".split()
+)
+STEP_4 = (
+    "al ance ence er ic able ible ant ement ment ent ou ism ate iti ous ive ize"
+).split()  # and "ion" after s or t
 
 
 def PAIRING(order: str) -> str:  # noqa: N802

@@ -22,22 +22,43 @@ def _json_text(literal: Column) -> Column:
     return F.regexp_replace(unicode_escapes, _TRAILING_COMMA, "$1")
 
 
+def _parsed(json: Column, kind: str, parts: str) -> Column:
+    """``json`` as a value of type ``kind``, or NULL if that is not the whole text or a
+    part of it is a list or dict of its own.
+
+    The parser stops after a first value, so the text is put into an object with a
+    mark behind it, its hash, which only a whole value leaves in place. Read as ``parts``, the
+    same type with variants, it shows what each part is.
+    """
+    options = {"allowSingleQuotes": "true", "allowUnquotedFieldNames": "true"}
+    mark = F.xxhash64(json)
+    marked = F.concat(F.lit('{"v": '), json, F.lit(', "end": '), mark.cast("string"), F.lit("}"))
+
+    def parse(of: str) -> Column:
+        return F.from_json(marked, f"struct<v: {of}, end: long>", options)
+
+    whole = parse(kind)
+    values = F.map_values(parse(parts)["v"]) if parts.startswith("map") else parse(parts)["v"]
+    inner = F.exists(values, lambda part: F.schema_of_variant(part).rlike("^(ARRAY|OBJECT)"))
+    # Few texts hold a second bracket: spare the others the parsing of parts.
+    suspicious = json.rlike(r"(?s)^\s*.[^\[{]*[\[{]")
+    plain = ~F.when(suspicious, F.coalesce(inner, F.lit(False))).otherwise(F.lit(False))
+    return F.when((whole["end"] == mark) & plain, whole["v"])
+
+
 def list_literal(literal: Column) -> Column:
-    """``['a', "b's"]`` to an array of strings; NULL when it does not parse."""
-    return F.from_json(_json_text(literal), "array<string>", {"allowSingleQuotes": "true"})
+    """``['a', "b's"]`` to an array of strings; NULL when it does not parse as a whole,
+    or holds lists or dicts."""
+    return _parsed(_json_text(literal), "array<string>", "array<variant>")
 
 
 def with_map(df: DataFrame, column: str) -> DataFrame:
     """``{865: 'title', …}`` in ``column`` to a map of ids to titles, ids ascending.
 
-    The last title of a repeated id wins. NULL when the text does not parse or a
-    key is no integer. Everything happens inside the row: no shuffle.
+    The last title of a repeated id wins. NULL when the text does not parse as a whole,
+    a title is a list or dict, or a key is no integer. Everything happens inside the row: no shuffle.
     """
-    parsed = F.from_json(
-        _json_text(F.col(column)),
-        "map<string,string>",
-        {"allowSingleQuotes": "true", "allowUnquotedFieldNames": "true"},
-    )
+    parsed = _parsed(_json_text(F.col(column)), "map<string,string>", "map<string,variant>")
     entries = F.transform(
         F.map_entries(parsed),
         lambda entry, at: F.struct(

@@ -20,15 +20,22 @@ def lenient_long(text: Column) -> Column:
     return F.when(text.rlike(r"^[+-]?[0-9]+\z"), text.try_cast("long"))
 
 
+# Fixed value: the white space that may stand before a number.
+_SPACE = r"[\s\x0B\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff]*"
+
+
 def prefix_long(text: Column) -> Column:
-    """The integer at the start of ``text`` after any blanks, or NULL: ``12abc``
-    gives 12. A ``0x`` prefix is read as hexadecimal."""
-    digits = F.regexp_extract(text, r"^\s*[+-]?0[xX]([0-9a-fA-F]+)", 1)
-    # Up to 15 hexadecimal digits fit a signed long; conv() would wrap beyond that.
-    size = F.when(
-        F.length(F.ltrim(digits, F.lit("0"))) <= 15, F.conv(digits, 16, 10).try_cast("long")
-    )
-    hexadecimal = F.when(F.ltrim(text).startswith("-"), -size).otherwise(size)
-    decimal = F.regexp_extract(text, r"^\s*([+-]?[0-9]+)", 1).try_cast("long")
-    # Most ids hold no x: spare them the hexadecimal pattern.
-    return F.when(F.lower(text).contains("0x") & (digits != ""), hexadecimal).otherwise(decimal)
+    """The integer at the start of ``text`` after white space, or NULL: ``12abc`` gives
+    12. After ``0x`` it is hexadecimal, and ``0x`` without a digit is no integer.
+    Beyond 64 bits it is NULL."""
+    digits = F.ltrim(F.regexp_extract(text, f"^{_SPACE}[+-]?0[xX]([0-9a-fA-F]+)", 1), F.lit("0"))
+    # conv() reads up to 64 bits, unsigned.
+    size = F.when(F.length(digits) <= 16, F.conv(F.concat(F.lit("0"), digits), 16, 10).try_cast("long"))
+    negative = F.regexp_extract(text, f"^{_SPACE}([+-]?)", 1) == "-"
+    hexadecimal = F.when(negative, -size).otherwise(size)
+    decimal = F.regexp_extract(text, f"^{_SPACE}([+-]?[0-9]+)", 1).try_cast("long")
+    # Most ids hold no x: spare them the hexadecimal patterns.
+    return F.when(
+        F.lower(text).contains("0x") & text.rlike(f"^{_SPACE}[+-]?0[xX]"),
+        F.when(text.rlike(f"^{_SPACE}[+-]?0[xX][0-9a-fA-F]"), hexadecimal),
+    ).otherwise(decimal)

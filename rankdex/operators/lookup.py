@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from rankdex.scratch import materialise
 
-# A key with more rows than this is spread over several tasks.
-ROWS_PER_KEY = 10_000
-# Bounds on what is sent to every executor, and on the keys put into a filter.
-BROADCAST_ROWS = 100_000
-BROADCAST_BYTES = 64 << 20
-BROADCAST_IDS = 4_000_000
-FILTER_KEYS = 200
+
+class Limits(NamedTuple):
+    """Sizes that decide how rows are joined; results do not depend on them."""
+
+    #: A key with more rows than this is spread over several tasks.
+    rows_per_key: int = 10_000
+    #: Bounds on what is sent to every executor, and on the keys put into a filter.
+    broadcast_rows: int = 100_000
+    broadcast_bytes: int = 64 << 20
+    broadcast_ids: int = 4_000_000
+    filter_keys: int = 200
+
+
+LIMITS = Limits()
 
 
 def measure(df: DataFrame) -> tuple[int, int]:
@@ -28,61 +37,71 @@ def measure(df: DataFrame) -> tuple[int, int]:
     return found["rows"], found["bytes"] or 0
 
 
-def only_asked(one: DataFrame, many: DataFrame, key: str, rows: int, size: int) -> DataFrame:
+def only_asked(
+    one: DataFrame, many: DataFrame, key: str, rows: int, size: int, limits: Limits = LIMITS
+) -> DataFrame:
     """The rows of ``one`` whose key is found in ``many``, a table of ``rows`` rows and
     ``size`` bytes, if the distinct keys are few enough to send along; otherwise
     ``one`` itself.
 
-    Up to ``FILTER_KEYS`` keys become a filter, which reaches the files: buckets, row
+    Up to ``limits.filter_keys`` keys become a filter, which reaches the files: buckets, row
     groups and dictionaries without such a key are not read. More are broadcast.
     """
     asked = many.select(key).where(F.col(key).isNotNull()).distinct()
-    if size <= BROADCAST_BYTES:
-        keys = [row[0] for row in asked.limit(FILTER_KEYS + 1).collect()]
-        if len(keys) <= FILTER_KEYS:
+    if size <= limits.broadcast_bytes:
+        keys = [row[0] for row in asked.limit(limits.filter_keys + 1).collect()]
+        if len(keys) <= limits.filter_keys:
             return one.where(F.col(key).isin(keys))
-    if rows > BROADCAST_IDS or size > BROADCAST_BYTES:
+    if rows > limits.broadcast_ids or size > limits.broadcast_bytes:
         rows, size = measure(asked)
-    if rows <= BROADCAST_IDS and size <= BROADCAST_BYTES:
+    if rows <= limits.broadcast_ids and size <= limits.broadcast_bytes:
         return one.join(F.broadcast(asked), key, "left_semi")
     return one
 
 
 def spread_join(
-    many: DataFrame, one: DataFrame, key: str, spread_by: str, many_rows: int, how: str = "inner"
+    many: DataFrame,
+    one: DataFrame,
+    key: str,
+    spread_by: str,
+    many_rows: int,
+    how: str = "inner",
+    limits: Limits = LIMITS,
 ) -> DataFrame:
     """Join ``many`` to ``one``, whose ``key`` is unique, when a key may hold a large
-    part of ``many``.
-
-    Keys with more than ``ROWS_PER_KEY`` rows are found first; counting combines
-    before its shuffle. Without such a key this is a plain join, which a ``one``
-    bucketed by ``key`` enters as stored. Otherwise a hot key's row of ``one`` is
-    copied once per ``ROWS_PER_KEY`` rows of ``many``, whose rows choose a copy by
-    the hash of ``spread_by``; other keys join as they are. There are at most
-    ``many_rows / ROWS_PER_KEY`` hot keys, and the threshold rises to keep that
-    under a million, so their list is small enough to broadcast. ``many`` is read
-    more than once: pass a stored one.
+    part of ``many``. ``how`` is ``inner`` or ``left``; a NULL key finds nothing.
+
+    Keys with more than ``limits.rows_per_key`` rows are found first; counting combines
+    before its shuffle. Without such a key this is a plain join. Otherwise there are
+    two: the other keys join ``one`` as it is stored, so that buckets hold and wide
+    rows stay. The few rows of ``one`` for the hot keys are copied once per
+    ``rows_per_key`` rows of ``many``, whose rows choose a copy by the hash of
+    ``spread_by``. The list of hot keys is broadcast: the threshold rises until it has
+    less than a million keys and ``limits.broadcast_bytes``. ``many`` is read more than
+    once: pass a stored one.
     """
-    threshold = max(ROWS_PER_KEY, many_rows // 1_000_000)
-    counts = many.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > threshold)
-    hot = materialise(counts.select(key, F.ceil(F.col("_n") / threshold).alias("_copies")), "hot")
+    threshold = max(limits.rows_per_key, many_rows // 1_000_000)
+    counts = many.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    hot = materialise(counts.where(F.col("_n") > threshold), "hot")
     if hot.isEmpty():
         return many.join(one, key, how)
-    copies = F.coalesce("_copies", F.lit(1))
-    left = (
-        many.join(F.broadcast(hot), key, "left")
-        .withColumn("_copy", F.pmod(F.xxhash64(spread_by), copies))
-        .drop("_copies")
+    while (size := measure(hot)[1]) > max(limits.broadcast_bytes, 1 << 20):
+        threshold *= max(2, size // max(limits.broadcast_bytes, 1 << 20))
+        hot = hot.where(F.col("_n") > threshold)
+    copies = F.ceil(F.col("_n") / threshold)
+    keys = F.broadcast(hot.select(key))
+    cold = many.join(keys, key, "left_anti").join(one, key, how)
+    left = many.join(F.broadcast(hot), key).withColumn("_copy", F.pmod(F.xxhash64(spread_by), copies))
+    right = one.join(F.broadcast(hot), key).withColumn(
+        "_copy", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1))
     )
-    right = (
-        one.join(F.broadcast(hot), key, "left")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)))
-        .drop("_copies")
-    )
-    return left.join(right, [key, "_copy"], how).drop("_copy")
+    spread = left.drop("_n").join(right.drop("_n"), [key, "_copy"], how).drop("_copy")
+    return cold.unionByName(spread)
 
 
-def fetch(many: DataFrame, one: DataFrame, key: str, spread_by: str) -> DataFrame:
+def fetch(
+    many: DataFrame, one: DataFrame, key: str, spread_by: str, limits: Limits = LIMITS
+) -> DataFrame:
     """Each row of ``many`` with the row of ``one`` that it names; rows that name
     none are left out. ``one`` may be wide and as large as a collection.
 
@@ -92,11 +111,11 @@ def fetch(many: DataFrame, one: DataFrame, key: str, spread_by: str) -> DataFram
     with hot keys spread.
     """
     rows, size = measure(many)
-    one = only_asked(one, many, key, rows, size)
-    if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES:
+    one = only_asked(one, many, key, rows, size, limits)
+    if rows <= limits.broadcast_rows and size <= limits.broadcast_bytes:
         joined = one.join(F.broadcast(many), key)
     else:
-        joined = spread_join(many, one, key, spread_by, rows)
+        joined = spread_join(many, one, key, spread_by, rows, limits=limits)
     own, found = ([c for c in df.columns if c != key] for df in (many, one))
     return joined.select(key, *own, *found)
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rankdex.operators.ranking import dense_index
+from rankdex.scratch import materialise
 
 
 def pair_by_index(left: DataFrame, right: DataFrame, index: str = "ix") -> DataFrame:
@@ -29,30 +30,53 @@ def cogroup(
     right_value: str,
     chunk_rows: int = 100_000,
 ) -> DataFrame:
-    """All left values and all right values of each key, as ascending arrays.
+    """All left values and all right values of each key, as ascending arrays, NULLs
+    first: one row per key, with ``chunk`` 0.
 
-    A key's values may be a third of all rows, so no array holds more than
-    ``chunk_rows`` of them: rows are numbered in order of key, side and value, and
-    a key gets one output row per stretch of ``chunk_rows`` numbers it touches.
-    Read its rows in order of ``chunk`` for the whole group. Keys found on one side
-    only have an empty array on the other.
+    A key's values may be a third of all rows, so a key with more than ``chunk_rows``
+    of them comes in chunks of so many, in order of side and value. Read its rows in
+    order of ``chunk`` for the whole group. Keys found on one side only have an empty
+    array on the other; NULL is a key like others.
+
+    Keys are counted first, combined before the shuffle. Small ones are then grouped;
+    only the values of large ones are sorted, numbered apart where they are equal, so
+    that no value piles up in one task either.
     """
     rows = left.select(
-        key,
+        F.col(key).alias("_key"),
         F.lit(0).alias("_side"),
         F.col(left_value).alias("_left"),
         F.lit(None).cast(right.schema[right_value].dataType).alias("_right"),
     ).unionAll(
         right.select(
-            key,
+            F.col(key).alias("_key"),
             F.lit(1).alias("_side"),
             F.lit(None).cast(left.schema[left_value].dataType).alias("_left"),
             F.col(right_value).alias("_right"),
         )
     )
-    numbered = dense_index(rows, [F.col(c).asc() for c in (key, "_side", "_left", "_right")])
-    chunk = F.floor(F.col("ix") / chunk_rows).alias("chunk")
-    return numbered.groupBy(key, chunk).agg(
-        F.sort_array(F.collect_list("_left")).alias("left_values"),
-        F.sort_array(F.collect_list("_right")).alias("right_values"),
-    )
+    counts = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
+    large = materialise(counts.where(F.col("_n") > chunk_rows).select(F.col("_key").alias("_large")), "large")
+    value = ["_key", "_side", "_left", "_right"]
+
+    def lists(grouped: DataFrame) -> DataFrame:
+        def values(side: int, column: str) -> Column:
+            own = F.collect_list(F.when(F.col("_side") == side, F.struct(column)))
+            return F.transform(F.sort_array(own), lambda x: x[column])
+
+        return grouped.groupBy("_key", "chunk").agg(
+            values(0, "_left").alias("left_values"), values(1, "_right").alias("right_values")
+        ).select(F.col("_key").alias(key), "chunk", "left_values", "right_values")
+
+    if large.isEmpty():
+        return lists(rows.withColumn("chunk", F.lit(0).cast("long")))
+    is_large = F.col("_key").eqNullSafe(F.col("_large"))
+    small = rows.join(large, is_large, "left_anti").withColumn("chunk", F.lit(0).cast("long"))
+    equal = rows.join(large, is_large, "left_semi").groupBy(*value).agg(F.count(F.lit(1)).alias("_n"))
+    apart = equal.withColumn("_nth", F.explode(F.sequence(F.lit(1).cast("long"), "_n"))).drop("_n")
+    numbered = dense_index(apart, [F.col(c).asc() for c in (*value, "_nth")])
+    first = numbered.groupBy(F.col("_key").alias("_large")).agg(F.min("ix").alias("_first"))
+    first = materialise(first, "first")
+    chunk = F.floor((F.col("ix") - F.col("_first")) / chunk_rows).alias("chunk")
+    cut = numbered.join(first, is_large).select(*value, chunk)
+    return lists(small).unionAll(lists(cut))

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rankdex.functions.text import MAX_WORDS, query_words, stem_words
-from rankdex.operators.lookup import BROADCAST_BYTES, measure, only_asked, spread_join
+from rankdex.functions.text import query_words, stem_words
+from rankdex.operators.lookup import LIMITS, Limits, measure, only_asked, spread_join
 from rankdex.operators.postings import DEPTH, PAGE_SIZE, posting_heads
 from rankdex.scratch import materialise
 
@@ -28,16 +28,21 @@ def query_bags(
     query_id: str = "query_id",
     query: str = "query",
     stem: bool = True,
+    limits: Limits = LIMITS,
 ) -> DataFrame:
     """One row per query: the documents of its first word in id order, then those of
     the second, and so on, repeats kept, at most ``depth`` of each word.
 
     ``index`` holds postings or their heads. The terms of the queries are stored
-    first and measured; see ``only_asked`` for what that saves on the index.
+    first and measured; see ``only_asked`` for what that saves on the index. A query
+    id that occurs twice is an error.
     """
     terms = materialise(query_terms(queries, query_id, query, stem), "terms")
+    starts = terms.where(F.col("pos").isNull() | (F.col("pos") == 0)).groupBy(query_id).count()
+    if not starts.where("count > 1").isEmpty():
+        raise ValueError(f"{query_id} is not unique")
     rows, size = measure(terms)
-    index = only_asked(index, terms, "keyword", rows, size)
+    index = only_asked(index, terms, "keyword", rows, size, limits)
     if "doc_ids" not in index.columns:
         heads = posting_heads(index, depth)
     elif depth <= DEPTH:
@@ -45,13 +50,18 @@ def query_bags(
     else:
         raise ValueError(f"stored heads hold {DEPTH} documents per keyword, not {depth}")
     # The heads of all terms take at most depth ids per term, and their keywords.
-    if rows * depth * 8 + size <= BROADCAST_BYTES:
-        found = terms.join(F.broadcast(heads), "keyword", "left")
+    asked = terms.where(F.col("keyword").isNotNull())
+    if rows * depth * 8 + size <= limits.broadcast_bytes:
+        found = asked.join(F.broadcast(heads), "keyword", "left")
     else:
-        found = spread_join(terms, heads, "keyword", query_id, rows, "left")
-    # A query has at most MAX_WORDS rows, of at most depth ids each.
+        found = spread_join(asked, heads, "keyword", query_id, rows, "left", limits)
+    # Queries without words are not joined: their rows have no keyword to spread by.
+    nothing = F.lit(None).cast(heads.schema["doc_ids"].dataType)
+    none = terms.where(F.col("keyword").isNull()).withColumn("doc_ids", nothing)
+    found = found.unionByName(none)
     found = found.withColumn("doc_ids", F.coalesce("doc_ids", F.array()))
-    by_word = F.slice(F.sort_array(F.collect_list(F.struct("pos", "doc_ids"))), 1, MAX_WORDS)
+    # A query has at most 15 rows, one per word looked up, of at most depth ids each.
+    by_word = F.sort_array(F.collect_list(F.struct("pos", "doc_ids")))
     return found.groupBy(query_id).agg(
         F.flatten(F.transform(by_word, lambda word: word["doc_ids"])).alias("bag")
     )

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping
+
 from pyspark.sql import DataFrame, functions as F
 
-from rankdex.functions.literals import related_entries
+from rankdex.functions.literals import normalise, related_entries
 from rankdex.functions.numbers import prefix_long
 from rankdex.operators.lookup import fetch
 from rankdex.plans.keyword_search import search
@@ -50,9 +52,13 @@ def detail_lookup(
     request_id: str = "request_id",
     raw_id: str = "raw_id",
     key: str = "doc_id",
+    lists: Iterable[str] = (),
+    maps: Iterable[str] = (),
+    hosts: Mapping[str, tuple[str, str]] | None = None,
 ) -> DataFrame:
     """The document of each request, whose raw id is read like ``12abc`` -> 12.
-    Requests without a leading integer, or for no document, are left out."""
+    Requests without a leading integer, or for no document, are left out. The text
+    columns ``lists``, ``maps`` and ``hosts`` are parsed once fetched, see ``normalise``."""
     wanted = requests.select(request_id, prefix_long(F.col(raw_id)).alias(key))
     wanted = materialise(wanted.where(F.col(key).isNotNull()), "requests")
-    return fetch(wanted, documents, key, request_id)
+    return normalise(fetch(wanted, documents, key, request_id), lists, maps, hosts)

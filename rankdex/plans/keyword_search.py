@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rankdex.functions.text import valid_query
 from rankdex.operators.lookup import fetch
-from rankdex.operators.postings import PAGE_SIZE
+from rankdex.operators.postings import PAGE_SIZE, PAGES
 from rankdex.operators.search import page_hits, query_bags, result_pages
 from rankdex.scratch import materialise
 
@@ -23,10 +23,13 @@ def search_pages(
 ) -> DataFrame:
     """One row per query with the labels and hits of one page; see ``result_pages``.
 
-    ``index`` holds postings, or heads for the first pages. ``query_id`` is unique.
+    ``index`` holds postings or heads; there are ``PAGES`` pages with either.
+    ``query_id`` is unique.
     ``only_valid`` leaves out queries that are empty or hold anything but ASCII
     letters and spaces.
     """
+    if not 1 <= page <= PAGES:
+        raise ValueError(f"pages are 1 to {PAGES}, not {page}")
     if only_valid:
         queries = queries.where(valid_query(F.col(query)))
     bags = query_bags(queries, index, PAGE_SIZE * page, query_id, query, stem)

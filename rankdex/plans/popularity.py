@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rankdex.operators.pairing import pair_by_index
 from rankdex.operators.ranking import follower_count, rank_documents, rank_nodes
+from rankdex.scratch import materialise
 from rankdex.sources.keyed_table import KeyedTable
 
 
@@ -32,12 +33,20 @@ def load_popularity(
     followed: str = "followed",
     lexical: bool = False,
 ) -> None:
-    """Put ``documents`` into ``table`` and add the paired node to ``social_id``.
+    """Put ``documents`` into ``table`` with the node paired with each in ``social_id``,
+    as one version.
 
-    Of documents with the same key the one with the fewest views is kept, and the
-    nodes of all of them are summed.
+    Of documents with the same key the one with the fewest views is kept, ties by the
+    other columns, and the nodes of all of them are summed; a ``social_id`` that
+    documents bring is added to. They are stored once at the start, so a source that
+    is slow to read is read once.
     """
+    documents = materialise(documents, "documents")
     value = F.col(views).cast("string") if lexical else F.col(views)
     paired = pair_by_popularity(documents, edges, table.key, views, followed, lexical)
-    table.put(documents, order_by=[value], keep="first")
-    table.add(paired, "social_id")
+    sums = paired.groupBy(table.key).agg(F.sum("social_id").alias("_sum"))
+    sums = materialise(sums, "paired")
+    own = F.col("social_id") if "social_id" in documents.columns else F.lit(None).cast("long")
+    total = F.when(F.col("_sum").isNull(), own).otherwise(F.coalesce(own, F.lit(0)) + F.col("_sum"))
+    joined = documents.join(sums, table.key, "left").withColumn("social_id", total).drop("_sum")
+    table.put(joined.select(*dict.fromkeys([*documents.columns, "social_id"])), order_by=[value], keep="first")

@@ -53,6 +53,11 @@ def read_documents(
     if permissive:
         corrupt = T.StructField("_corrupt_record", T.StringType())
         raw = reader.schema(T.StructType([*raw.schema.fields, corrupt])).csv(path)
+    if not permissive:
+        # A filter, so that a bad integer is found even when its column is not used.
+        for field in schema.fields:
+            if not isinstance(field.dataType, T.StringType):
+                raw = raw.where(strict_long(F.col(f"`{field.name}`")).isNotNull())
     return raw.select(
         *(_typed(field, permissive) for field in schema.fields),
         *(["_corrupt_record"] if permissive else []),

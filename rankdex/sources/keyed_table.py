@@ -5,12 +5,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from rankdex.operators.upsert import keyed_add, keyed_put
 
 _VERSION = "rankdex.version"
 _PREVIOUS = "rankdex.previous"
+_KEY = "rankdex.key"
+_BUCKETS = "rankdex.buckets"
 
 
 class KeyedTable:
@@ -21,7 +23,11 @@ class KeyedTable:
     repeated write leaves the table as it was, and readers of the version before
     keep their files. Because versions are bucketed, a put or add shuffles its
     updates only; but each one rewrites the table, so gather updates into large
-    ones, and store updates that are costly to compute. One writer at a time.
+    ones, and store updates that are costly to compute. One writer at a time: a write
+    fails if another one has published a version since it began.
+
+    Keys are never NULL. A table opened again has to be given the key, the buckets and
+    the types of columns that it has. Columns keep their declared types.
 
     Files go where the catalog keeps ``name``'s schema; on a cluster that is
     shared storage. Use as many ``buckets`` as give files of about 1 GB.
@@ -32,7 +38,17 @@ class KeyedTable:
     ):
         self.spark, self.name, self.key, self.buckets = spark, name, key, buckets
         if not spark.catalog.tableExists(name):
-            self._publish(spark.createDataFrame([], schema))
+            self._publish(spark.createDataFrame([], schema), None)
+            return
+        known = {f.name: f.dataType for f in self.read().schema}
+        asked = spark.createDataFrame([], schema).schema
+        own = {_KEY: key, _BUCKETS: str(buckets)}
+        for what, value in own.items():
+            if (stored := self._property(what)) != value:
+                raise ValueError(f"{name} has {what} {stored}, not {value}")
+        for field in asked:
+            if known.get(field.name) != field.dataType:
+                raise ValueError(f"{name} has {field.name} of type {known.get(field.name)}")
 
     def read(self) -> DataFrame:
         return self.spark.table(self._property(_VERSION))
@@ -46,34 +62,46 @@ class KeyedTable:
         the usual case, the wide rows are then shuffled once, into their buckets.
         """
         if not updates.isEmpty():
-            repeated = updates.groupBy(self.key).count().where("count > 1")
-            self._publish(
-                keyed_put(
-                    self.read(), updates, self.key, order_by, keep, unique=repeated.isEmpty()
-                )
-            )
+            began = self._property(_VERSION)
+            counts = updates.groupBy(self.key).count()
+            repeated, without = counts.agg(
+                F.max(F.col("count") > 1), F.max(F.col(self.key).isNull())
+            ).first()
+            if without:
+                raise ValueError(f"{self.key} is NULL")
+            put = keyed_put(self.read(), updates, self.key, order_by, keep, unique=not repeated)
+            self._publish(put, began)
 
     def add(self, deltas: DataFrame, column: str) -> None:
-        """Add to ``column`` of existing rows, or insert rows."""
+        """Add to ``column`` of existing rows, or insert rows. NULL deltas add nothing."""
         if not deltas.isEmpty():
-            self._publish(keyed_add(self.read(), deltas, self.key, column))
+            began = self._property(_VERSION)
+            if not deltas.where(F.col(self.key).isNull()).isEmpty():
+                raise ValueError(f"{self.key} is NULL")
+            self._publish(keyed_add(self.read(), deltas, self.key, column), began)
 
     def _property(self, name: str) -> str | None:
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()
         return next((row["value"] for row in rows if row["key"] == name), None)
 
-    def _publish(self, df: DataFrame) -> None:
+    def _publish(self, df: DataFrame, began: str | None) -> None:
         exists = self.spark.catalog.tableExists(self.name)
-        current = self._property(_VERSION) if exists else ""
         outdated = self._property(_PREVIOUS) if exists else ""
+        if began:
+            types = {f.name: f.dataType for f in self.read().schema}
+            df = df.select(*(F.col(c).cast(types[c]) if c in types else F.col(c) for c in df.columns))
         version = f"{self.name}_{uuid.uuid4().hex}"
         df.write.format("parquet").bucketBy(self.buckets, self.key).sortBy(self.key).saveAsTable(
             version
         )
+        current = self._property(_VERSION) if self.spark.catalog.tableExists(self.name) else None
+        if current != began:
+            self.spark.sql(f"DROP TABLE {version}")
+            raise RuntimeError(f"{self.name} was written by another writer")
+        properties = {_VERSION: version, _PREVIOUS: current or "", _KEY: self.key, _BUCKETS: self.buckets}
+        shown = ", ".join(f"'{name}' = '{value}'" for name, value in properties.items())
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self.name} "
-            f"TBLPROPERTIES ('{_VERSION}' = '{version}', '{_PREVIOUS}' = '{current}') "
-            f"AS SELECT * FROM {version}"
+            f"CREATE OR REPLACE VIEW {self.name} TBLPROPERTIES ({shown}) AS SELECT * FROM {version}"
         )
         if outdated:
             self.spark.sql(f"DROP TABLE IF EXISTS {outdated}")

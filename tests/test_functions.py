@@ -87,7 +87,8 @@ def test_replace_first_is_literal(spark, text, expected):
     "text, expected",
     [
         ("12", 12), ("12abc", 12), (" 7", 7), ("-3x", -3), ("+4", 4), ("abc", None), ("", None),
-        ("0x1F", 31), ("-0x10z", -16), ("0xg", 0), ("9" * 30, None), (None, None),
+        ("0x1F", 31), ("-0x10z", -16), ("0xg", None), ("0x", None), ("\t-0x1f", -31), ("\u00a07", 7), ("0x7fffffffffffffff", 2**63 - 1),
+        ("0x8000000000000000", None), ("0x00000000000000000011", 17), ("x0x1", None), ("1 0x2", 1), ("9" * 30, None), (None, None),
     ],
 )
 def test_prefix_long(spark, text, expected):
@@ -176,3 +177,13 @@ def test_stem_words_keeps_shape(spark):
     ).coalesce(1)
     out = df.select("k", stem_words("w").alias("s")).orderBy("k").collect()
     assert [r["s"] for r in out] == [["cat", "cat", None], None, [], ["poni"]]
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["['a'] junk", "['a'], 5", "['a']]", "['a', ['b']]", "[{'b': 1}]", "['a']}", "['a'], \"end\": 1} ["],
+)
+def test_lists_are_read_whole_or_not_at_all(spark, text):
+    assert value(spark, text, list_literal) is None
+    assert value(spark, "['[', '{x}', '']", list_literal) == ["[", "{x}", ""]
+    assert value(spark, "[1, 2.5, null]", list_literal) == ["1", "2.5", None]

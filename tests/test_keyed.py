@@ -95,6 +95,59 @@ def test_empty_put_writes_no_version(spark, base, name):
     assert spark.catalog.listTables(name.split(".")[0]) == before
 
 
+def test_null_keys_are_refused(spark, base, name):
+    table = KeyedTable(spark, name, "k", SCHEMA, buckets=4)
+    bad = spark.createDataFrame([(None, "a", 1)], SCHEMA)
+    for write in (table.put, lambda df: table.add(df, "s")):
+        with pytest.raises(ValueError, match="NULL"):
+            write(bad)
+    assert table.read().count() == 0
+
+
+def test_null_deltas_add_nothing(spark, base, name):
+    table = KeyedTable(spark, name, "k", SCHEMA, buckets=4)
+    table.put(base)
+    table.add(spark.createDataFrame([(1, None), (9, None)], "k long, s long"), "s")
+    assert rows(table.read().fillna(-1)) == [(1, "a", -1), (2, "b", 5)]
+
+
+def test_types_stay_as_declared(spark, name):
+    schema = "k long, n decimal(10,2), i int"
+    table = KeyedTable(spark, name, "k", schema, buckets=2)
+    table.put(spark.createDataFrame([(1, 2.0, 3.0)], "k long, n double, i double"))
+    for _ in range(2):
+        table.add(table.read().select("k", "n"), "n")
+        table.add(table.read().select("k", "i"), "i")
+    assert table.read().schema.simpleString() == "struct<k:bigint,n:decimal(10,2),i:int>"
+    assert table.read().first()["i"] == 12
+
+
+def test_reopening_checks_key_buckets_and_types(spark, base, name):
+    KeyedTable(spark, name, "k", SCHEMA, buckets=4).put(base)
+    assert KeyedTable(spark, name, "k", "k long, v string", buckets=4).read().count() == 2
+    for key, schema, buckets in (("v", SCHEMA, 4), ("k", SCHEMA, 8), ("k", "k long, v int", 4), ("k", "k long, z int", 4)):
+        with pytest.raises(ValueError, match="has"):
+            KeyedTable(spark, name, key, schema, buckets=buckets)
+
+
+def test_another_writer_is_noticed(spark, base, name):
+    table = KeyedTable(spark, name, "k", SCHEMA, buckets=4)
+    other = KeyedTable(spark, name, "k", SCHEMA, buckets=4)
+    began = table._property("rankdex.version")
+    other.put(base)
+    with pytest.raises(RuntimeError, match="another writer"):
+        table._publish(base.limit(1), began)
+    assert table.read().count() == 2
+
+
+def test_ties_are_broken_by_all_columns(spark, base):
+    given = [(1, "b", 5), (1, "a", 5), (1, "c", 4)]
+    for order in (given, given[::-1]):
+        puts = spark.createDataFrame(order, SCHEMA)
+        assert keyed_put(base, puts, "k", [F.col("s")]).where("k = 1").first()["v"] == "b"
+        assert keyed_put(base, puts, "k", [F.col("s")], "first").where("k = 1").first()["v"] == "c"
+
+
 def test_failed_write_leaves_the_table(spark, base, name):
     table = KeyedTable(spark, name, "k", SCHEMA, buckets=4)
     table.put(base)
@@ -138,7 +191,10 @@ def test_load_popularity_with_repeated_documents(spark, name):
         [(100, 1)] * 4 + [(200, 1)] * 3 + [(300, 1)] * 2, "followed long, follower long"
     )
     table = KeyedTable(spark, name, "talk_id", documents.schema, buckets=4)
+    before = set(spark.sql(f"show tables in {name.split('.')[0]}").toPandas()["tableName"])
     load_popularity(table, documents, edges)
+    after = set(spark.sql(f"show tables in {name.split('.')[0]}").toPandas()["tableName"])
+    assert len(after - before) == 1  # one version
     expected = [(1, "new", 10, 400), (2, "b", 30, 200), (3, "c", 5, -1)]
     assert rows(table.read().fillna(-1)) == expected
     load_popularity(table, documents, edges)

@@ -90,6 +90,30 @@ def test_cogroup(spark):
     ]
 
 
+def test_cogroup_keeps_nulls_and_small_keys_whole(spark):
+    rows = [(k, v) for k in (1, 2, 3, 4) for v in (k, None)] + [(None, 5)] * 3
+    left = spark.createDataFrame(rows, "k long, a long")
+    right = spark.createDataFrame([(4, None), (None, 1)], "k long, b long")
+    found = cogroup(left, right, "k", "a", "b", chunk_rows=3).collect()
+    got = {(r.k, r.chunk): (r.left_values, r.right_values) for r in found}
+    assert got == {
+        (1, 0): ([None, 1], []), (2, 0): ([None, 2], []), (3, 0): ([None, 3], []),
+        (4, 0): ([None, 4], [None]), (None, 0): ([5, 5, 5], []), (None, 1): ([], [1]),
+    }
+
+
+def test_cogroup_splits_equal_rows(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        left = spark.range(8_000).select(F.lit(1).alias("k"), F.lit(7).alias("a"))
+        right = spark.range(3).select(F.col("id").alias("k"), F.lit("x").alias("b"))
+        found = cogroup(left, right, "k", "a", "b", chunk_rows=1_000).where("k = 1").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted((r.chunk, len(r.left_values)) for r in found) == [*((i, 1_000) for i in range(8)), (8, 0)]
+    assert [r.right_values for r in sorted(found, key=lambda r: r.chunk)][-1] == ["x"]
+
+
 def test_cogroup_bounds_hot_keys(spark):
     left = spark.range(1000).select(F.lit(1).alias("k"), F.col("id").alias("a"))
     right = spark.range(10).select(F.col("id").alias("k"), F.col("id").alias("b"))

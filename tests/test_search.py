@@ -13,9 +13,10 @@ from rankdex.operators.postings import (
     read_postings,
     write_index,
 )
-from rankdex.operators.search import page_hits
+from rankdex.operators.search import page_hits, query_bags, result_pages
 from rankdex.plans.drilldown import detail_lookup, expand_related, search_topics
 from rankdex.plans.keyword_search import search, search_pages
+from rankdex.scratch import materialise
 
 POSTINGS = [("a", d) for d in range(1, 21)] + [("b", d) for d in range(11, 41)]
 
@@ -73,19 +74,11 @@ def test_compat_pages(spark, postings, page, expected):
     assert hits(spark, postings, "a b", page, compat=True) == expected
 
 
-def scan(lists, page, compat):
-    """Walk through the words' documents one by one, as one request would."""
-    found, counted = [], 0
-    for documents in lists:
-        for document in documents:
-            if len(found) < 15 and document not in found:
-                counted += 1
-                if not compat or page == 1:
-                    if counted > 15 * (page - 1):
-                        found.append(document)
-                elif 15 * (page - 1) <= counted < 15 * page:
-                    found.append(document)
-    return found
+def compat_pages(lists, page):
+    """Distinct documents of the bag from ordinal 15 (page - 1) on, of which 15."""
+    bag = [d for documents in lists for d in documents]
+    rest = bag[max(0, 15 * (page - 1) - 1) :]
+    return list(dict.fromkeys(rest))[:15]
 
 
 def distinct_scan(lists, page):
@@ -115,12 +108,62 @@ def test_pages_against_scan(spark, compat):
         for q, words in queries:
             documents = [lists[word] for word in words]
             if compat:
-                expected = scan(documents, page, compat)
+                expected = compat_pages(documents, page)
             else:
                 expected = distinct_scan(documents, page)
             assert got[q] == expected, (page, words)
 
 
+def test_a_repeated_query_id_fails(spark, postings):
+    schema = "query_id long, query string"
+    for rows in ([(1, "a"), (1, "b")], [(1, ""), (1, "a")], [(1, ""), (1, "")]):
+        with pytest.raises(ValueError, match="not unique"):
+            search_pages(spark.createDataFrame([(2, "a"), *rows], schema), postings).collect()
+
+
+def test_files_of_heads_do_not_overlap(spark, tmp_path):
+    path = str(tmp_path / "index")
+    rows = spark.range(20_000).selectExpr("concat('w', id % 3000) keyword", "id doc_id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_index(rows, path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spans = []
+    for file in read_heads(spark, path).inputFiles():
+        spans.append(tuple(spark.read.parquet(file).selectExpr("min(keyword)", "max(keyword)").first()))
+    spans.sort()
+    assert len(spans) > 1 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_cold_keys_join_stored_buckets(spark, large):
+    """A hot key does not shuffle the wide side for the others."""
+    database = f"t_{__import__('uuid').uuid4().hex}"
+    spark.sql(f"CREATE SCHEMA {database}")
+    wide = spark.range(2_000).selectExpr("id k", "repeat('x', 50) text")
+    wide.write.bucketBy(4, "k").sortBy("k").saveAsTable(f"{database}.wide")
+    many = spark.range(3_000).selectExpr("id", "if(id % 3 = 0, 7, id % 2000) k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spread_join(many, spark.table(f"{database}.wide"), "k", "id", 3_000, "inner", large)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The cold keys' half comes first in the union; its wide side is sorted where it is.
+    cold = plan[: plan.index("_copy")]
+    wide_side = cold[cold.rindex("+- Sort", 0, cold.index("Bucketed: true")) : cold.index("Bucketed: true")]
+    assert "Exchange" not in wide_side
+    assert joined.count() == 3_000
+
+
+def test_null_keywords_are_not_joined(spark, postings, large):
+    queries = spark.range(300).selectExpr("id query_id", "if(id % 3 = 0, 'a', ' ') query")
+    bags = query_bags(queries, postings, 15, limits=large)
+    assert sorted((r.query_id, len(r.bag)) for r in bags.collect()) == [
+        (i, 15 if i % 3 == 0 else 0) for i in range(300)
+    ]
+
+
 def test_validity_is_optional(spark, postings):
     queries = spark.createDataFrame([(1, "a"), (2, "a 2"), (3, "")], "query_id long, query string")
     every = search_pages(queries, postings)
@@ -175,9 +218,9 @@ def test_stored_index(spark, postings, tmp_path):
     }
     for page in range(1, 6):
         assert hits(spark, heads, "a b", page) == hits(spark, postings, "a b", page)
-    with pytest.raises(ValueError):
-        hits(spark, heads, "a b", 6)
-    assert hits(spark, postings, "a b", 6) == []
+    for index in (heads, postings):
+        with pytest.raises(ValueError, match="pages"):
+            hits(spark, index, "a b", 6)
 
 
 def test_search_reads_only_the_words_asked_for(spark, postings, tmp_path):
@@ -197,29 +240,25 @@ def test_heads_limit_before_the_shuffle(spark, postings):
 
 
 @pytest.fixture
-def large(monkeypatch):
+def large():
     """Treat the test tables as too large to broadcast, and three rows as many."""
-    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 0)
-    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
-    monkeypatch.setattr(lookup, "BROADCAST_IDS", 0)
-    monkeypatch.setattr(lookup, "ROWS_PER_KEY", 3)
-    monkeypatch.setattr("rankdex.operators.search.BROADCAST_BYTES", 0)
+    return lookup.Limits(rows_per_key=3, broadcast_rows=0, broadcast_bytes=0, broadcast_ids=0)
 
 
-def test_large_search_equals_small_one(spark, table, large, monkeypatch):
+def test_large_search_equals_small_one(spark, table, large):
     documents = table("documents")
     queries = table("benchmark").select(
         F.col("item_id").alias("query_id"), F.regexp_replace("text", r"[^\p{L}]+", " ").alias("query")
     )
     shown = documents.select("doc_id", "lang")
 
-    def result(page):
-        found = search(queries, inverted_index(documents), shown, page)
-        return sorted(tuple(r) for r in found.collect())
+    def result(limits):
+        bags = query_bags(queries, inverted_index(documents), 30, limits=limits)
+        hits = materialise(page_hits(result_pages(bags, 2)), "hits")
+        return sorted(tuple(r) for r in fetch(hits, shown, "doc_id", "query_id", limits).collect())
 
-    spread = result(2)
-    monkeypatch.undo()
-    assert spread == result(2)
+    spread = result(large)
+    assert spread == result(lookup.LIMITS)
     assert len(spread) > 500
 
 
@@ -230,21 +269,19 @@ def test_spread_join(spark, large, how):
         "id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k")
     )
     one = spark.range(0, 700).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    joined = spread_join(many, one, "k", "id", 900, how)
+    joined = spread_join(many, one, "k", "id", 900, how, large)
     assert joined.columns == ["k", "id", "v"]
     plain = many.join(one, "k", how)
     assert joined.exceptAll(plain).count() == 0 and plain.exceptAll(joined).count() == 0
 
 
 @pytest.mark.parametrize("keys", [0, 5, 1000])
-def test_fetch_ways_agree(spark, large, monkeypatch, keys):
+def test_fetch_ways_agree(spark, large, keys):
     many = spark.range(600).select("id", (F.col("id") % max(keys, 1)).alias("k")).limit(keys and 600)
     one = spark.range(0, 400).select(F.col("id").alias("k"), F.lit("wide").alias("text"))
-    spread = sorted(tuple(r) for r in fetch(many, one, "k", "id").collect())
-    monkeypatch.undo()
-    assert spread == sorted(tuple(r) for r in fetch(many, one, "k", "id").collect())
-    monkeypatch.setattr(lookup, "FILTER_KEYS", 0)
-    assert spread == sorted(tuple(r) for r in fetch(many, one, "k", "id").collect())
+    ways = large, lookup.LIMITS, lookup.Limits(filter_keys=0)
+    one_way, *others = (sorted(tuple(r) for r in fetch(many, one, "k", "id", way).collect()) for way in ways)
+    assert all(one_way == other for other in others)
 
 
 def test_measure(spark):

@@ -69,6 +69,14 @@ def test_csv_text_in_integer_column(spark, tmp_path):
     assert kept["views"] is None and kept["talk_id"] == 3
 
 
+def test_csv_bad_integer_fails_unused(spark, tmp_path):
+    path = tmp_path / "bad.csv"
+    path.write_text(",".join(f.name for f in DOCUMENT_SCHEMA) + "\n1,d,t,s,many,3,[],{},u\n")
+    for use in (lambda df: df.count(), lambda df: df.select("talk_id").collect()):
+        with pytest.raises(Exception, match="not an integer"):
+            use(read_documents(spark, str(path)))
+
+
 def test_csv_broken_record(spark, tmp_path):
     path = write(tmp_path / "d.csv", f"{HEADER}\nu,1,s,x,d,3,60,t,[],{{}}\nu,2,s,x,d,4,60,t\n")
     with pytest.raises(Exception):
