@@ -625,13 +625,22 @@ def search_unstemmed(spark, sf_dir):
     return found.select("query_id", "doc_id", "rank", "lang")
 
 
+def stored_search(spark: SparkSession, sf_dir: str) -> Query:
+    """The search of ``search_stored_index`` over an index that is written now."""
+    path = scratch_path(spark, "postings")
+    write_index(_index(spark, sf_dir), path)
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        documents = _table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+        return search(_keyword_queries(spark, sf_dir), read_heads(spark, path), documents, 2)
+
+    return run
+
+
 @register(page_sql(2))
 def search_stored_index(spark, sf_dir):
     """The index written in keyword order, and searched from its files."""
-    path = scratch_path(spark, "postings")
-    write_index(_index(spark, sf_dir), path)
-    documents = _table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
-    return search(_keyword_queries(spark, sf_dir), read_heads(spark, path), documents, 2)
+    return stored_search(spark, sf_dir)(spark, sf_dir)
 
 
 @register(
