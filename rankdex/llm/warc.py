@@ -17,6 +17,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from rankdex.llm import tokens
 from rankdex.scratch import materialise
 
 # Line end, end of a record, profile of an identical payload, base32 digits.
@@ -25,7 +26,7 @@ END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
-RECORDS_PER_ARCHIVE = 2_000
+RECORDS_PER_ARCHIVE = 1_000
 DATE = "1970-01-01T00:00:00Z"
 
 _HEADERS = (
@@ -212,6 +213,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
                         rows, held = [], 0
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, arrow)
+            tokens.release()
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return files.select("content").mapInArrow(parse, schema)
