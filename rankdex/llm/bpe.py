@@ -30,7 +30,7 @@ _GAPS = re.compile(f"[{_SPACE}]+")
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 #: Text encoded at once, and chunks between white space that a task remembers.
 BLOCK_CHARS = 1 << 20
-KNOWN_CHUNKS = 100_000
+KNOWN_CHUNKS = 200_000
 
 _NONE = np.int32(2**31 - 1)
 
