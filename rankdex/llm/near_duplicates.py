@@ -409,4 +409,6 @@ def one_of_each(
     gone = near_duplicates(documents, key, text, words, percent).where(~F.col("kept"))
     gone = materialise(gone.select(F.col(key).alias("_gone")).distinct(), "gone")
     few = gone.count() <= BROADCAST_IDS
-    return documents.join(F.broadcast(gone) if few else gone, F.col(key) == F.col("_gone"), "left_anti")
+    rows = documents.select(F.struct("*").alias("_doc"))
+    rows = rows.join(F.broadcast(gone) if few else gone, F.col(f"_doc.{key}") == F.col("_gone"), "left_anti")
+    return rows.select("_doc.*")
