@@ -2,9 +2,11 @@
 
 Documents and items are sequences of words (runs of letters and digits, lower-cased)
 and are compared by five-word shingles, counted with their repeats. A window is as
-long as an item and lies where one of the item's shingles puts it; without a common
-shingle the similarity is 0, so no other window can match. Windows and items get
-64-bit SimHash fingerprints. Eight blocks of eight bits index the items: fingerprints
+long as an item. It starts where one of the item's shingles puts it, or between two
+such starts less than two lengths apart: a window outside of all starts that its common
+shingles give can be shifted to the nearest one and lose no common shingle. Windows
+with too few shingles of any item of their length to be similar are left out before
+they are opened. Windows and items get 64-bit SimHash fingerprints. Eight blocks of eight bits index the items: fingerprints
 within 23 bits of each other differ by at most two bits in some block, so looking up
 every block within two bits finds them all. A pair of similarity 0.8 is 9.7 bits apart
 on average, with a deviation of 2.9. Candidates are verified by the exact weighted
@@ -81,6 +83,37 @@ def _lookups(fingerprint: Column, bits: int) -> Column:
     return F.explode(F.flatten(F.array(*pairs)))
 
 
+def _starts(similarity: float) -> Column:
+    """The starts of all windows that can be similar, of one document and item length.
+
+    ``starts`` are those that a common shingle puts exactly, ``ats`` the places in the
+    document of shingles that any item of ``item_len`` words has, both ascending.
+    """
+    size = F.least("item_len", "n")
+    width = F.least(F.col("item_len"), F.lit(WORDS))
+    both = size + F.col("item_len") - 2 * width + 2
+    # So many shingles are shared at least; windows hold them where so many places lie
+    # within one window's reach.
+    need = F.greatest(F.lit(1), F.ceil(both * (similarity / (1 + similarity)) - 1e-6).cast("int"))
+
+    def span(i: Column) -> Column:
+        low = F.greatest(F.lit(0), F.get("ats", i + need - 1) - (size - width))
+        high = F.least(F.get("ats", i), F.col("n") - size)
+        # Spans follow each other: each one without what the one before has.
+        low = F.when(i > 0, F.greatest(low, F.get("ats", i - 1) + 1)).otherwise(low)
+        return F.struct(low.alias("low"), high.alias("high"))
+
+    def gap(start: Column, i: Column) -> Column:
+        after = F.get("starts", i + 1)
+        return F.sequence(start, F.when(after - start < 2 * F.col("item_len"), after - 1).otherwise(start))
+
+    enough = F.transform(F.sequence(F.lit(0), F.size("ats") - need), span)
+    enough = F.filter(enough, lambda x: x["low"] <= x["high"])
+    enough = F.flatten(F.transform(enough, lambda x: F.sequence(x["low"], x["high"])))
+    near = F.flatten(F.transform("starts", gap))
+    return F.when(F.size("ats") >= need, F.array_intersect(enough, near)).otherwise(F.array().cast("array<int>"))
+
+
 def benchmark_items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
     """``entry, item, len, width, shingles, fingerprint`` of each item that has words.
     ``entry`` is a hash of the id and the words, as ids may repeat or be NULL. An item
@@ -97,8 +130,8 @@ def contaminated(
     item: str = "item_id", item_text: str = "text", similarity: float = SIMILARITY,
 ) -> DataFrame:
     """``key, item, similarity, start_word, n_words, row``: every item found in a
-    document, with the window that is most like it (the first of equals). ``row``
-    identifies the document by its key and text where keys repeat or are NULL.
+    document, with the window that is most like it (the first of equals that were
+    opened). ``row`` identifies the document by its key and text where keys repeat or are NULL.
 
     Whole texts are looked at, and windows as long as the item (a shorter text as a
     whole). NULL and empty texts, on either side, match nothing. Rows that repeat key
@@ -126,8 +159,7 @@ def contaminated(
         ).join(places, "shingle")
         length = F.least("item_len", "n")
         start = F.greatest(F.lit(0), F.least(F.col("at") - F.col("offset"), F.col("n") - length))
-        window = F.struct(start.alias("start"), length.alias("len"), "item_len")
-        windows = hits.select("key", "row", window.alias("window"))
+        windows = hits.select("key", "row", "n", "item_len", "at", start.alias("start"))
         found = windows if found is None else found.unionAll(windows)
     names = [F.col(c) for c in ("key", "row", "item")]
     if found is None:
@@ -136,8 +168,14 @@ def contaminated(
             F.col(key), F.col("item").alias(item), F.lit(0.0).alias("similarity"), F.lit(0).alias("start_word"),
             F.lit(0).alias("n_words"), F.lit(0).cast("long").alias("row"),
         )
+    placed = found.groupBy("row", "key", "n", "item_len").agg(
+        F.sort_array(F.collect_set("at")).alias("ats"), F.sort_array(F.collect_set("start")).alias("starts")
+    )
+    placed = placed.withColumn("open", _starts(similarity)).where(F.size("open") > 0)
+    window = lambda start: F.struct(start.alias("start"), F.least("item_len", "n").alias("len"), "item_len")
+    placed = placed.select("row", "key", F.transform("open", window).alias("windows"))
     per_document = materialise(
-        found.groupBy("row", "key").agg(F.collect_set("window").alias("windows")), "windows"
+        placed.groupBy("row", "key").agg(F.flatten(F.collect_list("windows")).alias("windows")), "windows"
     )
     # Only documents with a window are read again for its words.
     joined = rows.join(
@@ -150,7 +188,8 @@ def contaminated(
         F.slice(F.col("words"), F.col("w.start") + 1, F.col("w.len")).alias("words"),
     )
     parts = [
-        opened.select("key", "row", "start", "len", "item_len", F.lit(w).alias("width"), shingles("words", w).alias("shingles"))
+        opened.where(F.least(F.col("item_len"), F.lit(WORDS)) == w)
+        .select("key", "row", "start", "len", "item_len", F.lit(w).alias("width"), shingles("words", w).alias("shingles"))
         for w in widths
     ]
     windows = parts[0]

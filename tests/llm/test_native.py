@@ -227,6 +227,29 @@ def test_passages_are_found(frame, spark, prose):
     assert Counter(r.doc_id for r in clean.collect()) == Counter(d for d, _ in rows if all(d != k for k, _ in got))
 
 
+def test_best_window_between_aligned_ones(frame, spark, prose):
+    passage = [f"p{i}" for i in range(200)]
+    changed = lambda n, name: [f"{name}{i}" for i in range(n)]
+    # 16 words more in the middle and 8 others at each end: 0.815 at best, 0.750 where a shingle puts it.
+    inserted = changed(8, "x") + passage[8:100] + changed(16, "y") + passage[100:192] + changed(8, "z")
+    short = prose(40, 77, 3_000)
+    rows = [(1, f"{prose(50, 1)} {' '.join(inserted)} {prose(50, 2)}"), (2, " ".join(inserted)), (3, " ".join(passage))]
+    rows += [(4, " ".join(changed(300, "v"))), (None, f"{prose(9, 3)} {' '.join(inserted)}")]
+    rng = random.Random(6)
+    for i in range(60):
+        words = passage[:] if i % 2 else short.split()
+        for _ in range(rng.randrange(1, 4)):
+            at = rng.randrange(len(words))
+            words[at:at] = changed(rng.randrange(1, 2 + len(words) // 15), f"in{i}-{at}-")
+            del words[at - rng.randrange(4) : at]
+        rows.append((10 + i, f"{prose(rng.randrange(30), i)} {' '.join(words)} {prose(rng.randrange(30), 99 + i)}"))
+    items = [(1, " ".join(passage)), (2, short), (3, prose(200, 5, 3_000))]
+    found = dc.contaminated(frame(rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {(r.doc_id, r.item_id): r.similarity for r in found}
+    assert got[1, 1] == got[2, 1] == got[None, 1] == pytest.approx(0.815, abs=0.001)
+    assert got == pytest.approx(passages(rows, items)) and len(got) == len(found)
+
+
 def test_nothing_to_find(frame, spark):
     none = spark.createDataFrame([], "item_id long, text string")
     some = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
