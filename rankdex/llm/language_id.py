@@ -3,7 +3,8 @@
 A model holds, for every language, the likelihoods of byte trigrams. The trigrams of a
 document are taken as a mixture of languages, whose proportions expectation
 maximisation estimates. The set of languages is then chosen by penalised likelihood:
-one more language has to gain more than it costs.
+one more language has to gain more than it costs. A set may hold all languages; sizes
+are left out only where no mixture at all could gain what they cost.
 """
 
 from __future__ import annotations
@@ -23,8 +24,6 @@ BUCKETS = 1 << 14
 #: Bound on the labelled documents per language that a model learns from.
 PER_LANGUAGE = 2_000
 ROUNDS, SET_ROUNDS = 15, 8
-#: Languages that a document's set may hold.
-MOST = 3
 #: A letter is in three trigrams, so their counts weigh a third.
 WEIGHT = 1 / 3
 #: Cost of one more language, times the logarithm of the trigrams.
@@ -113,7 +112,19 @@ def _estimate(
         joint *= (weights / np.maximum(joint.sum(axis=1), 1e-30))[:, None]
         shares = np.add.reduceat(joint, starts, axis=0) / total
     mixed = (likely * np.repeat(shares, sizes, axis=0)).sum(axis=1)
-    return shares, np.add.reduceat(weights * np.log(np.maximum(mixed, 1e-30)), starts)
+    return shares, np.add.reduceat(weights * np.log(np.maximum(mixed, 1e-30)), starts, dtype=np.float64)
+
+
+def _ceiling(
+    likely: np.ndarray, weights: np.ndarray, starts: np.ndarray, sizes: np.ndarray, shares: np.ndarray, reached: np.ndarray
+) -> np.ndarray:
+    """Log likelihoods that no mixture of the languages exceeds, from proportions that
+    have reached some: the likelihood is concave, so the steepest language bounds it."""
+    mixed = np.maximum((likely * np.repeat(shares, sizes, axis=0)).sum(axis=1), 1e-30)
+    total = np.add.reduceat(weights, starts)
+    steepest = np.add.reduceat(likely * (weights / mixed)[:, None], starts, axis=0).max(axis=1) / total
+    # With some room for rounding.
+    return reached + total * np.log(np.maximum(steepest, 1)) + 1e-5 * np.abs(reached)
 
 
 def mixtures(
@@ -129,22 +140,29 @@ def mixtures(
     weights = (counts * WEIGHT).astype(np.float32)
     likely = likelihoods.T[buckets]
     shares = np.full((len(first), n_languages), 1 / n_languages, np.float32)
-    shares, _ = _estimate(likely, weights, first, sizes, shares, ROUNDS)
+    shares, reached = _estimate(likely, weights, first, sizes, shares, ROUNDS)
+    ceiling = _ceiling(likely, weights, first, sizes, shares, reached)
     order = np.argsort(-shares, axis=1, kind="stable")
     n = np.add.reduceat(weights, first)
     best, best_score = np.zeros_like(shares), np.full(len(first), -np.inf)
-    for size in range(1, min(MOST, n_languages) + 1):
-        inside = order[:, :size]
-        own = likely[np.arange(len(rows))[:, None], np.repeat(inside, sizes, axis=0)]
-        start = np.take_along_axis(shares, inside, axis=1) + np.float32(1e-3)
+    for size in range(1, n_languages + 1):
+        cost = PENALTY * (size - 1) * np.log(n + 2)
+        open_ = np.flatnonzero(ceiling - cost > best_score)
+        if not len(open_):
+            break
+        inside = order[open_, :size]
+        lines = np.flatnonzero(np.repeat(ceiling - cost > best_score, sizes))
+        starts = np.cumsum(sizes[open_]) - sizes[open_]
+        own = likely[lines[:, None], np.repeat(inside, sizes[open_], axis=0)]
+        start = np.take_along_axis(shares[open_], inside, axis=1) + np.float32(1e-3)
         start = start / start.sum(axis=1, keepdims=True)
-        found, score = _estimate(own, weights, first, sizes, start, SET_ROUNDS if size > 1 else 0)
-        score = score - PENALTY * (size - 1) * np.log(n + 2)
-        better = score > best_score + 1e-9
-        best_score[better] = score[better]
-        full = np.zeros_like(shares)
+        found, score = _estimate(own, weights[lines], starts, sizes[open_], start, SET_ROUNDS if size > 1 else 0)
+        score = score - cost[open_]
+        better = score > best_score[open_] + 1e-9
+        best_score[open_[better]] = score[better]
+        full = np.zeros((len(open_), n_languages), np.float32)
         np.put_along_axis(full, inside, found, axis=1)
-        best[better] = full[better]
+        best[open_[better]] = full[better]
     return rows[first], best
 
 
@@ -153,7 +171,8 @@ def predict(
 ) -> DataFrame:
     """``key, lang_pred, score, languages`` for every row.
 
-    ``languages`` maps each language of the chosen set to its proportion, ``lang_pred``
+    ``languages`` maps each language of the chosen set, of up to all that were learned,
+    to its proportion, ``lang_pred``
     is the one with the largest (the first by name of equals) and ``score`` that
     proportion. A NULL text, one without a letter, and any text under a model without
     languages is ``und`` with score 0 and no languages; letters too few for a trigram

@@ -77,6 +77,41 @@ def test_odd_rows_and_mixtures(frame, model):
     assert language_id.predict(frame([]), model).count() == 0
 
 
+def test_a_text_in_all_languages(frame):
+    words = [" the and with ", " der und mit ", " que los por ", " dans avec est ", " zijn voor niet "]
+    likelihoods = np.full((len(words), language_id.BUCKETS), 1.0)
+    for i, word in enumerate(words):
+        data = np.frombuffer(word.encode() * 50, np.uint8)
+        _, buckets, counts = language_id.trigrams(data, np.array([0, len(data)]))
+        likelihoods[i, buckets] += counts * 100
+    model = list("abcde"), (likelihoods / likelihoods.sum(axis=1, keepdims=True)).astype(np.float32)
+    rows = [(n, "".join(word * 40 for word in words[:n])) for n in range(1, 6)]
+    rows += [(10, words[0] * 80 + words[1] * 40 + words[3] * 40 + words[4] * 40), (11, "the")]
+    found = {r.doc_id: r for r in language_id.predict(frame(rows), model).collect()}
+    for n in range(1, 6):
+        assert found[n].languages == pytest.approx({name: 1 / n for name in model[0][:n]}, abs=0.03)
+        assert found[n].score == max(found[n].languages.values())
+    assert found[10].lang_pred == "a"
+    assert found[10].languages == pytest.approx({"a": 0.4, "b": 0.2, "d": 0.2, "e": 0.2}, abs=0.03)
+
+
+def test_sizes_left_out_could_not_be_chosen(monkeypatch):
+    rng = np.random.default_rng(4)
+    likelihoods = rng.dirichlet(np.full(300, 0.3), 6).astype(np.float32) + np.float32(1e-6)
+    rows, buckets, counts = [], [], []
+    for row in range(80):
+        shares = rng.dirichlet(np.full(6, rng.choice([0.1, 1.0])))
+        drawn = np.bincount(rng.choice(300, rng.integers(1, 900), p=(p := shares @ likelihoods) / p.sum()), minlength=300)
+        at = np.flatnonzero(drawn)
+        rows, buckets, counts = [*rows, *[row] * len(at)], [*buckets, *at], [*counts, *drawn[at]]
+    given = np.array(rows), np.array(buckets), np.array(counts), likelihoods
+    ids, found = language_id.mixtures(*given)
+    monkeypatch.setattr(language_id, "_ceiling", lambda *args: np.full(len(args[-1]), np.inf))
+    every = language_id.mixtures(*given)[1]
+    assert ids.tolist() == list(range(80)) and np.array_equal(found, every)
+    assert {1, 2, 3, 4, 5} <= set((found > 0).sum(axis=1).tolist())
+
+
 def test_without_labelled_languages(frame, spark):
     df = frame([(1, "the", None), (2, "cat", None)], "doc_id long, text string, lang string")
     model = language_id.fit(df, F.lit(True))
