@@ -1,4 +1,4 @@
-"""The ten operators as queries over their whole tables, with SQL where it can say it."""
+"""The thirteen operators as queries over their whole tables, with SQL where it can say it."""
 
 from __future__ import annotations
 
@@ -9,11 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from rankdex.llm import (
     bpe,
     decontamination,
+    fill_middle,
+    importance,
     language_id,
     line_spread,
     near_duplicates as near,
     order_minhash,
     quality,
+    simhash_segments,
     suffix_dedup,
     url_filter,
     warc,
@@ -205,3 +208,52 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@register()
+def op11_simhash_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash_segments.near_duplicates(_table(spark, sf_dir, "documents"))
+    return rows.withColumn("fingerprint", simhash_segments.as_text(F.col("fingerprint")))
+
+
+_HASH_AT = ", ".join(
+    f"cast(cast('0x' || substr(digest, {at}, 8) as bigint) as bigint) h{i}" for i, at in enumerate((1, 9, 17, 25), 1)
+)
+
+
+@register(
+    f"""with d as (select doc_id, coalesce(text, '') t,
+            sha256('1:' || coalesce(cast(doc_id as varchar), '')) digest from documents),
+    h as (select doc_id, t, cast(length(t) as bigint) n, {_HASH_AT} from d),
+    f as (select *, least(h1 % (n + 1), h2 % (n + 1)) one, greatest(h1 % (n + 1), h2 % (n + 1)) two,
+            case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>')
+                or h3 % 100 >= {fill_middle.RATE} then 'plain'
+            when h4 % 100 < {fill_middle.SUFFIX_FIRST} then 'spm' else 'psm' end form
+        from h),
+    c as (select *, substr(t, 1, one) prefix, substr(t, one + 1, two - one) middle,
+            substr(t, two + 1) suffix from f)
+    select doc_id, n, form, case when form <> 'plain' then one end prefix_chars,
+        case when form <> 'plain' then two - one end middle_chars,
+        sha256(case form when 'plain' then t
+            when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+            else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) output_sha256,
+        sha256(t) restored_sha256
+    from c"""
+)
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fill_middle.fill_in_middle(_table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(), 256).alias("restored_sha256"),
+    )
+
+
+@register()
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return importance.resample(documents, benchmark).drop("n_words")

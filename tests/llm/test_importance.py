@@ -1,0 +1,113 @@
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from rankdex.llm import importance
+from rankdex.llm.queries import op13_importance_resampling
+
+SF = "/root/testdata/sf0.001"
+_WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+_LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def runs_of(text, most):
+    words = _WORD.findall((text or "").translate(_LOWER))
+    runs = [" ".join(words[i : i + w]) for w in range(1, most + 1) for i in range(len(words) - w + 1)]
+    return len(words), runs
+
+
+def expected(documents, target, most=1, buckets=10_000, percent=10, least=20, seed="2024"):
+    """``doc_id, n_features, weight, score, rank`` in plain Python."""
+    bucket = lambda run: zlib.crc32(run.encode()) % buckets
+    s, t = [0] * buckets, [0] * buckets
+    for _, text in documents:
+        for run in runs_of(text, most)[1]:
+            s[bucket(run)] += 1
+    for text in target:
+        for run in runs_of(text, most)[1]:
+            t[bucket(run)] += 1
+    all_s, all_t = sum(s), sum(t)
+    gain = [
+        math.floor(1000 * math.log((t[b] + 1) * (all_s + buckets) / ((s[b] + 1) * (all_t + buckets)))) for b in range(buckets)
+    ]
+    rows = []
+    for key, text in documents:
+        n_words, runs = runs_of(text, most)
+        weight = sum(gain[bucket(r)] for r in runs) // len(runs) if runs else 0
+        h = int(hashlib.sha256(f"{seed}:{'' if key is None else key}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        rows.append((n_words, key, len(runs), weight, score))
+    enough = [r for r in rows if r[0] >= least]
+    order = sorted(enough, key=lambda r: (-r[4], r[1] is None, r[1] or 0, r[0], r[2], r[3]))
+    drawn = order[: len(enough) * percent // 100]
+    left = list(rows)
+    out = []
+    for rank, r in enumerate(drawn, 1):
+        left.remove(r)
+        out.append((*r[1:], rank))
+    return sorted([*out, *((*r[1:], None) for r in left)], key=repr)
+
+
+def rows_of(df):
+    return sorted(((r.doc_id, r.n_features, r.weight, r.score, r["rank"]) for r in df.collect()), key=repr)
+
+
+def test_whole_table(spark, table):
+    documents = [(r.doc_id, r.text) for r in table("documents").collect()]
+    target = [r.text for r in table("benchmark").collect()]
+    assert rows_of(op13_importance_resampling(spark, SF)) == expected(documents, target)
+
+
+@pytest.mark.parametrize("most, buckets", [(1, 50), (2, 10_000), (3, 200_000)])
+def test_runs_nulls_ties_and_repeats(spark, frame, prose, monkeypatch, most, buckets):
+    monkeypatch.setattr(importance, "BLOCK_BYTES", 300)
+    texts = [prose(n, n) for n in (0, 1, 5, 19, 20, 21, 60, 400, 3000)] + [None, "", " \n", "É x É", "A-b_c1", "a\x85b\xa0c"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(i + 100, prose(30, 7)) for i in range(40)]
+    rows += [(3, prose(25, 1)), (3, prose(25, 1)), (None, prose(25, 2)), (None, prose(25, 2)), (-4, prose(50, 9))]
+    target = [prose(80, 5), None, "", "the the the"]
+    found = importance.resample(
+        frame(rows), frame([(None, t) for t in target]), run_words=most, buckets=buckets, percent=40
+    )
+    assert rows_of(found) == expected(rows, target, most, buckets, percent=40)
+
+
+def test_empty_tables(spark, frame):
+    none, some = frame([(1, "a")]).limit(0), frame([(1, "word " * 30), (2, None)])
+    assert importance.resample(none, some).collect() == []
+    assert rows_of(importance.resample(some, none, percent=100)) == expected([(1, "word " * 30), (2, None)], [], percent=100)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.binary(max_size=30), st.binary(max_size=300)), min_size=1, max_size=8))
+def test_crcs_are_put_together(pairs):
+    left = np.array([zlib.crc32(a) for a, _ in pairs], np.uint32)
+    right = np.array([zlib.crc32(b) for _, b in pairs], np.uint32)
+    size = np.array([len(b) for _, b in pairs])
+    assert importance.joined_crc(left, right, size).tolist() == [zlib.crc32(a + b) for a, b in pairs]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.characters(exclude_categories=["Cs"]), max_size=60), st.lists(st.integers(450, 550), max_size=3))
+def test_the_automaton_finds_all_words(text, long):
+    text = text.join("z" * n for n in long) or text
+    block = text.encode().translate(importance._BYTES)
+    emitted = importance.Words([block]).payloads(block)
+    words = [w.encode() for w in _WORD.findall(text.translate(_LOWER))]
+    assert emitted.tolist() == [len(w) << 32 | zlib.crc32(w) for w in words]
+
+
+def test_long_text_in_blocks(spark, frame):
+    rng = random.Random(1)
+    long = " ".join(rng.choice(["alpha", "béta", "x" * 50, "7"]) for _ in range(200_000))
+    solid = "y" * (3 * importance.BLOCK_BYTES)
+    rows = {r.doc_id: r for r in importance.features(frame([(1, long), (2, solid), (3, f"a {solid} b")]), run_words=2).collect()}
+    assert (rows[1].n_words, rows[1].n_features) == (200_000, 399_999)
+    assert (rows[2].n_words, rows[3].n_words, rows[3].n_features) == (1, 3, 5)
+    crc = zlib.crc32(f"a {solid}".encode()) % 10_000
+    assert crc in np.frombuffer(rows[3].features, "<u2").tolist()
