@@ -271,6 +271,39 @@ def csv_by_header(spark, sf_dir):
     return read_documents(spark, path)
 
 
+@register(
+    """select doc_id talk_id, coalesce(text, '') description, 'a "b"' || chr(10) || '",' || lang title,
+        source || chr(10) speaker_1, n_chars "views", cast(0 as bigint) duration, '"' topics, '' related_talks,
+        '5" disk' url
+    from documents"""
+)
+def csv_split_files(spark, sf_dir):
+    """Whole documents as CSV with quotes and line breaks in most fields, and read in
+    splits far smaller than its files."""
+    path = scratch_path(spark, "csv")
+    documents = _table(spark, sf_dir, "documents").select(
+        F.lit('5" disk').alias("url"),
+        F.concat(F.lit('a "b"\n",'), "lang").alias("title"),
+        F.col("text").alias("description"),
+        F.concat("source", F.lit("\n")).alias("speaker_1"),
+        F.col("n_chars").alias("views"),
+        F.lit('"').alias("topics"),
+        F.lit("").alias("related_talks"),
+        F.lit(0).alias("duration"),
+        F.col("doc_id").alias("talk_id"),
+    )
+    documents.write.option("header", True).option("escape", '"').csv(path)
+    small = {"spark.sql.files.maxPartitionBytes": "256k", "spark.sql.files.openCostInBytes": "0"}
+    before = {name: spark.conf.get(name) for name in small}
+    try:
+        for name, value in small.items():
+            spark.conf.set(name, value)
+        return materialise(read_documents(spark, path), "documents")
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 @register(
     """select p.code, count(*) orders
     from orders left join (values ('1-URGENT', 'a'), ('2-HIGH', 'b'), ('5-LOW', 'c')) p (name, code)

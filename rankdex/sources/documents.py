@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from rankdex.functions.numbers import strict_long
+from rankdex.sources.csv_records import read_csv
 
 # Fixed value: the columns of a document, in order. Ids and counts are longs.
 DOCUMENT_SCHEMA = T.StructType(
@@ -38,21 +39,12 @@ def read_documents(
     ``mode='PERMISSIVE'`` broken records are kept, their text in ``_corrupt_record``,
     and integers that do not parse are NULL.
 
-    A CSV file with quoted line breaks cannot be split. Keep large collections in
-    many files, and convert them to parquet once.
+    Files are read in ranges, many tasks a file, wherever line breaks and quotes are
+    (``csv_records``). Two scans run at once to find out how, so store the result if it
+    is read more than once.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("multiLine", True)
-        .option("escape", escape)
-        .option("enforceSchema", False)  # every file has to carry the same header
-        .option("mode", mode)
-    )
     permissive = mode.upper() == "PERMISSIVE"
-    raw = reader.csv(path)
-    if permissive:
-        corrupt = T.StructField("_corrupt_record", T.StringType())
-        raw = reader.schema(T.StructType([*raw.schema.fields, corrupt])).csv(path)
+    raw = read_csv(spark, path, escape, mode)
     if not permissive:
         # A filter, so that a bad integer is found even when its column is not used.
         for field in schema.fields:
