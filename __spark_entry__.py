@@ -292,7 +292,8 @@ def csv_split_files(spark, sf_dir):
         F.lit(0).alias("duration"),
         F.col("doc_id").alias("talk_id"),
     )
-    documents.write.option("header", True).option("escape", '"').csv(path)
+    writer = documents.write.option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     small = {"spark.sql.files.maxPartitionBytes": "256k", "spark.sql.files.openCostInBytes": "0"}
     before = {name: spark.conf.get(name) for name in small}
     try:
