@@ -27,7 +27,7 @@ from oracle_parts import (  # noqa: E402
 from rankdex.functions.literals import normalise, related_entries  # noqa: E402
 from rankdex.functions.text import replace_first, valid_query  # noqa: E402
 from rankdex.operators.lookup import Limits, fetch, missing  # noqa: E402
-from rankdex.operators.pairing import cogroup, pair_by_index, side_sizes  # noqa: E402
+from rankdex.operators.pairing import cogroup, pair_in_order, side_sizes  # noqa: E402
 from rankdex.operators.postings import inverted_index, read_heads, write_index  # noqa: E402
 from rankdex.operators.ranking import (  # noqa: E402
     dense_index,
@@ -171,9 +171,12 @@ def rank_pairing_lexical(spark, sf_dir):
     join (select l_suppkey node_id, count(*) followers from lineitem group by 1) using (node_id)"""
 )
 def rank_pairing_small_right(spark, sf_dir):
-    ranked = rank_documents(_table(spark, sf_dir, "customer"), "c_custkey", "c_acctbal")
-    nodes = rank_nodes(_degrees(spark, sf_dir, "l_suppkey"))
-    return pair_by_index(ranked.select("ix", "c_custkey"), nodes)
+    """Many customers and few nodes; the first customers are selected before any sort, also
+    where they are few."""
+    customers = _table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    nodes = _degrees(spark, sf_dir, "l_suppkey")
+    richest, most = [("c_acctbal", False), ("c_custkey", True)], [("followers", False), ("node_id", True)]
+    return pair_in_order(customers, richest, nodes, most, slack=0).drop("c_acctbal")
 
 
 @register(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rankdex.operators.ranking import dense_index
+from rankdex.operators.selection import SLACK_ROWS, Order, first_rows, sort_columns
 from rankdex.scratch import materialise
 
 
@@ -14,6 +15,25 @@ def pair_by_index(left: DataFrame, right: DataFrame, index: str = "ix") -> DataF
     return left.join(right, index)
 
 
+def pair_in_order(
+    left: DataFrame, left_order: Order, right: DataFrame, right_order: Order, index: str = "ix", slack: int = SLACK_ROWS
+) -> DataFrame:
+    """The i-th row of ``left`` in its order with the i-th row of ``right`` in its own,
+    and ``index``. Orders are of ``(column, ascending)`` and should end in unique columns.
+
+    There are as many pairs as the shorter side has rows, so only so many rows of the
+    longer one are sorted and moved, and about a quarter more (``first_rows``). Both
+    sides are stored first: give narrow ones.
+    """
+    left, right = materialise(left, "left"), materialise(right, "right")
+    sizes = left.count(), right.count()
+    sides = []
+    for rows, order, size in ((left, left_order, sizes[0]), (right, right_order, sizes[1])):
+        first = first_rows(rows, order, min(sizes), size, slack)
+        sides.append(dense_index(first, sort_columns(order), index))
+    return pair_by_index(*sides, index)
+
+
 def side_sizes(left: DataFrame, right: DataFrame) -> DataFrame:
     """Row counts of both sides, as ``side`` and ``n``."""
     sides = left.select(F.lit("left").alias("side")).unionAll(

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rankdex.operators.pairing import pair_by_index
-from rankdex.operators.ranking import follower_count, rank_documents, rank_nodes
+from rankdex.operators.pairing import pair_in_order
+from rankdex.operators.ranking import follower_count
 from rankdex.scratch import materialise
 from rankdex.sources.keyed_table import KeyedTable
 
@@ -19,10 +19,15 @@ def pair_by_popularity(
     lexical: bool = False,
 ) -> DataFrame:
     """``(ix, key, social_id)``: the most viewed document with the most followed
-    node, and so on. Only ids and sort keys move."""
-    ranked = rank_documents(documents, key, views, lexical).select("ix", key)
-    nodes = rank_nodes(follower_count(edges, followed))
-    return pair_by_index(ranked, nodes.select("ix", F.col("node_id").alias("social_id")))
+    node, and so on; ties by id. Only ids and sort keys move, and of the longer side
+    only about as many as the shorter one has."""
+    value = F.col(views).cast("string") if lexical else F.col(views)
+    ranked = documents.select(key, value.alias("_views"))
+    nodes = follower_count(edges, followed).withColumnsRenamed({"node_id": "social_id", "followers": "_followers"})
+    paired = pair_in_order(
+        ranked, [("_views", False), (key, True)], nodes, [("_followers", False), ("social_id", True)]
+    )
+    return paired.select("ix", key, "social_id")
 
 
 def load_popularity(
