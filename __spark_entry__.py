@@ -386,11 +386,11 @@ def _keyed_add(spark, sf_dir):
     return keyed_add(base, _deltas(spark, sf_dir), "k", "n")
 
 
-def _scratch_table(spark: SparkSession, key: str, schema: str) -> KeyedTable:
+def _scratch_table(spark: SparkSession, key: str, schema: str, buckets: int = 16) -> KeyedTable:
     """A keyed table of its own in the shared folder."""
     database = f"rankdex_{uuid.uuid4().hex}"
     spark.sql(f"CREATE SCHEMA {database} LOCATION '{scratch_path(spark, 'tables')}'")
-    return KeyedTable(spark, f"{database}.items", key, schema, buckets=16)
+    return KeyedTable(spark, f"{database}.items", key, schema, buckets=buckets)
 
 
 @register(
@@ -408,6 +408,27 @@ def keyed_table(spark, sf_dir):
     return again.read().drop("o_orderdate")
 
 
+@register(
+    """with richest as (
+        select c_nationkey, max_by(c_custkey, (c_acctbal, c_custkey)) k from customer group by 1)
+    select c_custkey k, case when r.k is null then c_mktsegment else 'RICHEST' end s,
+        case when r.k is null then c_custkey else 2 * c_custkey end n
+    from customer left join richest r on c_custkey = r.k"""
+)
+def keyed_few_buckets(spark, sf_dir):
+    """A table of all customers, and a put and an add of one customer a nation, which
+    write the buckets of those only."""
+    customers = _table(spark, sf_dir, "customer")
+    table = _scratch_table(spark, "k", "k long, s string, n long", buckets=64)
+    key = F.col("c_custkey").alias("k")
+    table.put(customers.select(key, F.col("c_mktsegment").alias("s"), F.col("c_custkey").alias("n")))
+    richest = customers.groupBy("c_nationkey").agg(F.max(F.struct("c_acctbal", "c_custkey"))["c_custkey"].alias("k"))
+    richest = materialise(richest.select("k", F.lit("RICHEST").alias("s"), F.col("k").alias("n")), "richest")
+    table.put(richest)
+    table.add(richest.select("k", "n"), "n")
+    return table.read()
+
+
 @register(
     f"""with {PAIRING('n_chars desc')}
     select doc_id, text, n_chars, social_id from documents left join paired using (doc_id)"""

@@ -1,0 +1,179 @@
+"""Buckets that a write touches, and versions that one writer claims."""
+
+import threading
+import uuid
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from rankdex.sources import versions
+from rankdex.sources.keyed_table import KeyedTable
+
+SCHEMA = "k long, v string, s long"
+
+
+@pytest.fixture
+def name(spark):
+    database = f"t_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE SCHEMA {database}")
+    return f"{database}.items"
+
+
+@pytest.fixture
+def table(spark, name):
+    table = KeyedTable(spark, name, "k", SCHEMA, buckets=8)
+    table.put(spark.range(800).select(F.col("id").alias("k"), F.lit("v").alias("v"), F.lit(1).alias("s")))
+    return table
+
+
+def files(table):
+    return set(table.read().inputFiles())
+
+
+def keys_of(spark, bucket, n=3):
+    """Keys of one of eight buckets."""
+    return [r["id"] for r in spark.range(800).where(F.pmod(F.hash("id"), F.lit(8)) == bucket).limit(n).collect()]
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_a_put_into_one_bucket_writes_one(spark, table):
+    before, seen = files(table), table.read()
+    keys = keys_of(spark, 5)
+    table.put(spark.createDataFrame([(k, "new", 7) for k in keys], SCHEMA))
+    after = files(table)
+    assert len(before) == len(after) == 8
+    assert len(after - before) == 1 and len(before - after) == 1
+    expected = [(k, "new", 7) if k in keys else (k, "v", 1) for k in range(800)]
+    assert rows(table.read()) == expected
+    assert rows(seen) == [(k, "v", 1) for k in range(800)]  # the version before, still whole
+
+
+def test_an_add_into_two_buckets_writes_two(spark, table):
+    before = files(table)
+    one, two = keys_of(spark, 1)[0], keys_of(spark, 6)[0]
+    table.add(spark.createDataFrame([(one, 5), (one, 5), (two, 1), (3, None)], "k long, s long"), "s")
+    assert len(files(table) - before) == 2
+    changed = {r["k"]: r["s"] for r in table.read().where("s > 1").collect()}
+    assert changed == {one: 11, two: 2}
+
+
+def test_files_that_no_version_needs_are_deleted(spark, table):
+    first = files(table)
+    for value in range(3):
+        table.put(spark.createDataFrame([(k, "new", value) for k in keys_of(spark, 2)], SCHEMA))
+    folder = Path(table._data.removeprefix("file:"))
+    stored = list(folder.rglob("*.parquet"))
+    assert len(stored) == 9  # one bucket has a file in each of the last two versions
+    assert len(first & files(table)) == 7
+    assert len(spark.catalog.listTables(table.name.split(".")[0])) == 3
+
+
+def test_buckets_stay_buckets_for_spark(spark, table):
+    """Of buckets written at different times a join still shuffles the other side only."""
+    table.put(spark.createDataFrame([(k, "new", 1) for k in keys_of(spark, 2)], SCHEMA))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = table.read().join(spark.range(5).withColumnRenamed("id", "k"), "k")._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.toString().count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan.toString()
+
+
+def test_a_new_column_is_null_in_buckets_left_alone(spark, table):
+    keys = keys_of(spark, 4)
+    table.put(spark.createDataFrame([(k, "new", 1, 9) for k in keys], f"{SCHEMA}, extra long"))
+    assert table.read().columns == ["k", "v", "s", "extra"]
+    assert rows(table.read().where("extra = 9").select("k")) == [(k,) for k in sorted(keys)]
+    assert table.read().where("extra is null").count() == 800 - len(keys)
+    table.put(spark.createDataFrame([(keys_of(spark, 0)[0], "again", 2)], SCHEMA))
+    assert table.read().where("extra is not null").count() == len(keys)
+    assert spark.table(table.name).count() == 800
+
+
+def test_of_two_writers_one_wins(spark, name, monkeypatch):
+    """Both have read the same version and stored their rows before either claims the next."""
+    first = KeyedTable(spark, name, "k", SCHEMA, buckets=4)
+    second = KeyedTable(spark, name, "k", SCHEMA, buckets=4)
+    together, claim = threading.Barrier(2, timeout=120), versions.claim
+
+    def claim_together(*arguments):
+        together.wait()
+        return claim(*arguments)
+
+    monkeypatch.setattr(versions, "claim", claim_together)
+    puts = {w: spark.createDataFrame([(i, str(i), 1)], SCHEMA) for i, w in enumerate((first, second))}
+    failed = {}
+
+    def write(table):
+        try:
+            table.put(puts[table])
+        except RuntimeError as error:
+            failed[table] = error
+
+    threads = [threading.Thread(target=write, args=(t,)) for t in (first, second)]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    monkeypatch.setattr(versions, "claim", claim)
+    assert len(failed) == 1 and "another writer" in str(*failed.values())
+    (loser,) = failed
+    assert first.read().count() == 1
+    loser.put(puts[loser])  # nothing is lost: what was refused can be put again
+    assert rows(first.read()) == [(0, "0", 1), (1, "1", 1)]
+    assert spark.table(name).count() == 2
+
+
+def test_a_number_is_claimed_once(spark, tmp_path):
+    folder = f"file:{tmp_path}/versions"
+    won = []
+
+    def run(writer):
+        if versions.claim(spark, folder, 1, f"writer {writer}"):
+            won.append(writer)
+
+    threads = [threading.Thread(target=run, args=(w,)) for w in range(12)]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert len(won) == 1 and versions.content(spark, folder, 1) == f"writer {won[0]}"
+    assert versions.latest(spark, folder) == 1
+    assert [p.name for p in (tmp_path / "versions").iterdir() if not p.name.startswith(".")] == ["000000000001"]
+
+
+def test_a_rename_never_replaces(spark, tmp_path):
+    """The way of file systems other than a local disk."""
+    a, fs = versions._path(spark, f"file:{tmp_path}", "a")
+    b, _ = versions._path(spark, f"file:{tmp_path}", "b")
+    for path in (a, b):
+        fs.create(path, True).close()
+    with pytest.raises(Exception, match="FileAlreadyExists"):
+        versions._rename(spark, a, b)
+    fs.delete(b, False)
+    versions._rename(spark, a, b)
+    assert fs.exists(b) and not fs.exists(a)
+
+
+def test_a_view_left_behind_is_brought_up_to_date(spark, table, monkeypatch):
+    """A writer that is lost after its claim has published all the same."""
+    monkeypatch.setattr(KeyedTable, "_show", lambda self: None)
+    table.put(spark.createDataFrame([(1, "new", 1)], SCHEMA))
+    monkeypatch.undo()
+    assert spark.table(table.name).where("v = 'new'").count() == 0
+    again = KeyedTable(spark, table.name, "k", SCHEMA, buckets=8)
+    assert again.read().where("v = 'new'").count() == spark.table(table.name).where("v = 'new'").count() == 1
+
+
+def test_failed_writes_leave_no_version(spark, table):
+    before = versions.latest(spark, table._claims)
+    bad = spark.createDataFrame([(1, "a", 1)], SCHEMA).withColumn("v", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception, match="broken"):
+        table.put(bad)
+    assert versions.latest(spark, table._claims) == before
+    table.put(spark.createDataFrame([(1, "a", 1)], SCHEMA))
+    assert versions.latest(spark, table._claims) == before + 1
