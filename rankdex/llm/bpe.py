@@ -1,10 +1,10 @@
 """BPE encoding and decoding with a pair occurrence index.
 
-A task gathers the distinct pieces of its texts and lays their symbols side by side.
+A task gathers the unknown pieces of a block of texts and lays their symbols side by side.
 An index maps every pair that has a rank to all its positions. The lowest active rank
 is taken, all its positions are merged at once, and only the lists of the pairs next
-to them change; then the next rank follows, until no pair has one. Every distinct
-piece is encoded once per task, and texts are put together from encoded pieces.
+to them change; then the next rank follows, until no pair has one. Pieces in use are
+remembered, and texts are put together from encoded pieces.
 """
 
 from __future__ import annotations
@@ -13,10 +13,11 @@ import heapq
 import json
 import re
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
@@ -25,11 +26,9 @@ from rankdex.llm import tokens
 # White space and the pieces of a text, as the vocabulary file has them.
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
-_GAPS = re.compile(f"[{_SPACE}]+")
-#: Separators that Python takes for white space and the vocabulary does not.
-_ODD_SPACE = re.compile("[\x1c-\x1f]")
-#: Text encoded at once, and chunks between white space that a task remembers.
-BLOCK_CHARS = 1 << 20
+#: Text encoded at once, and chunks between white space in a generation of those that a
+#: worker remembers.
+BLOCK_CHARS = 1 << 23
 KNOWN_CHUNKS = 200_000
 
 _NONE = np.int32(2**31 - 1)
@@ -48,6 +47,7 @@ class Vocabulary:
     the file, so it travels with the tasks."""
 
     def __init__(self, path: str):
+        self._encoder: Encoder | None = None
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
         model = content["model"]
@@ -66,6 +66,13 @@ class Vocabulary:
         self.rank_order = np.argsort(pairs, kind="stable").astype(np.int32)
         self.pairs = pairs[self.rank_order]
 
+    def encoder(self) -> Encoder:
+        """One encoder a process, so that the tasks of a worker share what they learn; it
+        goes with the vocabulary."""
+        if self._encoder is None:
+            self._encoder = Encoder(self)
+        return self._encoder
+
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         wanted = left.astype(np.int64) * self.width + right
         at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
@@ -121,8 +128,10 @@ def encode_pieces(pieces: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarr
     while active:
         r = heapq.heappop(active)
         lists = index.pop(r)
-        where = np.unique(np.concatenate(lists)) if len(lists) > 1 else np.sort(lists[0])
+        where = np.sort(np.concatenate(lists) if len(lists) > 1 else lists[0])
         where = where[alive[where] & (rank[where] == r)]
+        if len(lists) > 1:
+            where = where[np.concatenate([[True], where[1:] != where[:-1]])[: len(where)]]
         if len(where) > 1:
             # A symbol may end one pair and start the next: take every other of a run.
             joined = after[where[:-1]] == where[1:]
@@ -140,61 +149,90 @@ def encode_pieces(pieces: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarr
         after[where] = right
         before[right[right >= 0]] = where[right >= 0]
         left = before[where]
-        note(np.unique(np.concatenate([where, left[left >= 0]])))
+        other = left >= 0
+        other[1:] &= left[1:] != where[:-1]
+        note(np.concatenate([where, left[other]]))
     return symbol[alive], np.concatenate([[0], np.cumsum(alive)])[at]
 
 
 class Encoder:
-    """Encodes texts of one task; remembers the chunks between white space."""
+    """Encodes texts in a worker. Chunks between white space, and the pieces that they
+    consist of, are remembered in two generations: when the new one is full it becomes
+    the old one, and what is met again moves into the new one. So words in use stay, and
+    memory holds no more than both generations and one block."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         names = sorted(map(re.escape, vocabulary.special), key=len, reverse=True)
         self.special = re.compile(f"({'|'.join(names)})") if names else None
 
-    def _chunks(self, text: str) -> list[str]:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
-            # Letter by letter: a word's last sigma is not told apart.
-            text = text.lower() if "Σ" not in text else "".join(c.lower() for c in text)
-        else:
-            text = text.lower()
-        if _ODD_SPACE.search(text):
-            return [c for c in _GAPS.split(text) if c]
-        return text.split()
-
-    def _learn(self, chunks: Iterable[str]) -> None:
-        pieces_of = {c: [c] if c.isalpha() else _PIECES.findall(c) for c in chunks}
-        pieces = list({p for found in pieces_of.values() for p in found})
+    def _normal(self, text: str) -> str:
+        if text.isascii():
+            return text.lower()
+        text = unicodedata.normalize("NFC", text)
+        # Letter by letter: a word's last sigma is not told apart.
+        return text.lower() if "Σ" not in text else "".join(c.lower() for c in text)
+
+    def _recall(self, chunks: set[str]) -> set[str]:
+        """Move what the old generation knows into the new one; the rest is returned."""
+        chunks = chunks - self.known.keys()
+        for chunk in chunks & self.older.keys():
+            self.known[chunk] = self.older.pop(chunk)
+        return chunks - self.known.keys()
+
+    def _learn(self, chunks: set[str]) -> None:
+        """Encode unknown chunks: their unknown pieces at once, in one index."""
+        pieces_of = {c: _PIECES.findall(c) for c in chunks if not c.isalpha()}
+        pieces = chunks - pieces_of.keys()
+        for found in pieces_of.values():
+            pieces.update(found)
+        pieces = list(self._recall(pieces))
         ids, at = encode_pieces([p.encode() for p in pieces], self.vocabulary)
         content = ids.astype("<u4").tobytes()
         bounds = (at * 4).tolist()
-        packed = {p: content[bounds[i] : bounds[i + 1]] for i, p in enumerate(pieces)}
+        known = self.known
+        for piece, start, end in zip(pieces, bounds, bounds[1:]):
+            known[piece] = content[start:end]
         for chunk, found in pieces_of.items():
-            self.known[chunk] = packed[found[0]] if len(found) == 1 else b"".join(packed[p] for p in found)
+            known[chunk] = b"".join([known[p] for p in found])
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str]) -> list[memoryview]:
         """Packed little-endian 32-bit ids of each text."""
-        split: list[list[list[str] | bytes]] = []
-        new: set[str] = set()
         if len(self.known) > KNOWN_CHUNKS:
-            self.known = {}
+            self.known, self.older = {}, self.known
+        # Texts without special tokens, that is nearly all, are one part.
+        parts, ends, fixed = [], [], {}
         for text in texts:
-            parts: list[list[str] | bytes] = []
             for part in self.special.split(text) if self.special and "<" in text else (text,):
                 if part in self.vocabulary.special:
-                    parts.append(self.vocabulary.special[part].to_bytes(4, "little"))
-                elif part:
-                    parts.append(chunks := self._chunks(part))
-                    new.update(chunks)
-            split.append(parts)
-        self._learn(new - self.known.keys())
-        get = self.known.__getitem__
-        return [
-            b"".join(part if isinstance(part, bytes) else b"".join(map(get, part)) for part in parts)
-            for parts in split
-        ]
+                    fixed[len(parts)] = self.vocabulary.special[part]
+                    part = ""
+                parts.append(self._normal(part))
+            ends.append(len(parts))
+        # White space beyond ASCII is in no piece, so it may stay within chunks.
+        chunks = pc.ascii_split_whitespace(pa.array(parts, pa.large_string()))
+        place = chunks.offsets.to_numpy()
+        coded = chunks.flatten().dictionary_encode()
+        which, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        self._learn(self._recall(set(words)))
+        known = self.known
+        packed = [known[word] for word in words]
+        if fixed:
+            # A special token's part is one empty chunk: let it stand for the token.
+            which = which.copy()
+            for part, token in fixed.items():
+                which[place[part]] = len(packed)
+                packed.append(token.to_bytes(4, "little"))
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        first = np.cumsum(sizes) - sizes
+        ids = np.frombuffer(b"".join(packed), "<u4")
+        counts = sizes[which]
+        after = np.concatenate([[0], np.cumsum(counts)])
+        out = ids[np.repeat(first[which] - after[:-1], counts) + np.arange(after[-1])]
+        content, bounds = memoryview(out.view(np.uint8)), (after[place[[0, *ends]]] * 4).tolist()
+        return [content[start:end] for start, end in zip(bounds, bounds[1:])]
 
 
 def _blocks(column: pa.Array) -> Iterator[list[str]]:
@@ -223,7 +261,7 @@ def _run(
     vocabulary = documents.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, symbols = Encoder(vocabulary.value), vocabulary.value.symbols
+        encoder, symbols = vocabulary.value.encoder(), vocabulary.value.symbols
         for batch in batches:
             at = 0
             for texts in _blocks(batch.column(1)):
@@ -238,8 +276,6 @@ def _run(
                 yield pa.RecordBatch.from_arrays(columns, names=["k", "n", "ids", "decoded"][: len(columns)])
                 at += len(texts)
             tokens.release()
-        del encoder
-        tokens.release()
 
     kind = documents.schema[key].dataType.simpleString()
     rows = documents.select(F.col(key).alias("k"), F.col(text).alias("t"))
