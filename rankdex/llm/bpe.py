@@ -13,12 +13,14 @@ import heapq
 import json
 import re
 import unicodedata
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from rankdex.llm import tokens
@@ -28,8 +30,8 @@ _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
 #: Text encoded at once, and chunks between white space in a generation of those that a
 #: worker remembers.
-BLOCK_CHARS = 1 << 23
-KNOWN_CHUNKS = 200_000
+BLOCK_CHARS = 1 << 21
+KNOWN_CHUNKS = 100_000
 
 _NONE = np.int32(2**31 - 1)
 
@@ -47,9 +49,9 @@ class Vocabulary:
     the file, so it travels with the tasks."""
 
     def __init__(self, path: str):
-        self._encoder: Encoder | None = None
         with open(path, encoding="utf-8") as file:
-            content = json.load(file)
+            text = file.read()
+        content, self.name = json.loads(text), f"{path} {zlib.crc32(text.encode())}"
         model = content["model"]
         ids, suffix = model["vocab"], model.get("end_of_word_suffix") or ""
         self.special = {t["content"]: t["id"] for t in content["added_tokens"]}
@@ -66,13 +68,6 @@ class Vocabulary:
         self.rank_order = np.argsort(pairs, kind="stable").astype(np.int32)
         self.pairs = pairs[self.rank_order]
 
-    def encoder(self) -> Encoder:
-        """One encoder a process, so that the tasks of a worker share what they learn; it
-        goes with the vocabulary."""
-        if self._encoder is None:
-            self._encoder = Encoder(self)
-        return self._encoder
-
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         wanted = left.astype(np.int64) * self.width + right
         at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
@@ -235,6 +230,18 @@ class Encoder:
         return [content[start:end] for start, end in zip(bounds, bounds[1:])]
 
 
+_of_worker: dict[str, Encoder] = {}
+
+
+def worker_encoder(name: str, vocabulary: Broadcast) -> Encoder:
+    """The one encoder that a worker process keeps, so that its tasks share what they
+    learn; that of another vocabulary takes its place."""
+    if name not in _of_worker:
+        _of_worker.clear()
+        _of_worker[name] = Encoder(vocabulary.value)
+    return _of_worker[name]
+
+
 def _blocks(column: pa.Array) -> Iterator[list[str]]:
     texts, held = [], 0
     for value in column:
@@ -258,10 +265,12 @@ def decode_ids(packed: bytes | memoryview, symbols: list[bytes]) -> bytes:
 def _run(
     documents: DataFrame, vocabulary_path: str, key: str, text: str, decoded: bool
 ) -> DataFrame:
-    vocabulary = documents.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary_path))
+    loaded = Vocabulary(vocabulary_path)
+    name, vocabulary = loaded.name, documents.sparkSession.sparkContext.broadcast(loaded)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, symbols = vocabulary.value.encoder(), vocabulary.value.symbols
+        encoder = worker_encoder(name, vocabulary)
+        symbols = encoder.vocabulary.symbols
         for batch in batches:
             at = 0
             for texts in _blocks(batch.column(1)):
