@@ -30,8 +30,8 @@ _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
 #: Text encoded at once, and chunks between white space in a generation of those that a
 #: worker remembers.
-BLOCK_CHARS = 1 << 21
-KNOWN_CHUNKS = 100_000
+BLOCK_CHARS = 1 << 20
+KNOWN_CHUNKS = 80_000
 
 _NONE = np.int32(2**31 - 1)
 
