@@ -13,14 +13,12 @@ import heapq
 import json
 import re
 import unicodedata
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from rankdex.llm import tokens
@@ -29,9 +27,9 @@ from rankdex.llm import tokens
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
 #: Text encoded at once, and chunks between white space in a generation of those that a
-#: worker remembers.
+#: task remembers.
 BLOCK_CHARS = 1 << 20
-KNOWN_CHUNKS = 80_000
+KNOWN_CHUNKS = 40_000
 
 _NONE = np.int32(2**31 - 1)
 
@@ -50,8 +48,7 @@ class Vocabulary:
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
-            text = file.read()
-        content, self.name = json.loads(text), f"{path} {zlib.crc32(text.encode())}"
+            content = json.load(file)
         model = content["model"]
         ids, suffix = model["vocab"], model.get("end_of_word_suffix") or ""
         self.special = {t["content"]: t["id"] for t in content["added_tokens"]}
@@ -151,7 +148,7 @@ def encode_pieces(pieces: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarr
 
 
 class Encoder:
-    """Encodes texts in a worker. Chunks between white space, and the pieces that they
+    """Encodes texts of one task. Chunks between white space, and the pieces that they
     consist of, are remembered in two generations: when the new one is full it becomes
     the old one, and what is met again moves into the new one. So words in use stay, and
     memory holds no more than both generations and one block."""
@@ -230,18 +227,6 @@ class Encoder:
         return [content[start:end] for start, end in zip(bounds, bounds[1:])]
 
 
-_of_worker: dict[str, Encoder] = {}
-
-
-def worker_encoder(name: str, vocabulary: Broadcast) -> Encoder:
-    """The one encoder that a worker process keeps, so that its tasks share what they
-    learn; that of another vocabulary takes its place."""
-    if name not in _of_worker:
-        _of_worker.clear()
-        _of_worker[name] = Encoder(vocabulary.value)
-    return _of_worker[name]
-
-
 def _blocks(column: pa.Array) -> Iterator[list[str]]:
     texts, held = [], 0
     for value in column:
@@ -265,12 +250,10 @@ def decode_ids(packed: bytes | memoryview, symbols: list[bytes]) -> bytes:
 def _run(
     documents: DataFrame, vocabulary_path: str, key: str, text: str, decoded: bool
 ) -> DataFrame:
-    loaded = Vocabulary(vocabulary_path)
-    name, vocabulary = loaded.name, documents.sparkSession.sparkContext.broadcast(loaded)
+    vocabulary = documents.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(name, vocabulary)
-        symbols = encoder.vocabulary.symbols
+        encoder, symbols = Encoder(vocabulary.value), vocabulary.value.symbols
         for batch in batches:
             at = 0
             for texts in _blocks(batch.column(1)):
@@ -285,6 +268,8 @@ def _run(
                 yield pa.RecordBatch.from_arrays(columns, names=["k", "n", "ids", "decoded"][: len(columns)])
                 at += len(texts)
             tokens.release()
+        del encoder
+        tokens.release()
 
     kind = documents.schema[key].dataType.simpleString()
     rows = documents.select(F.col(key).alias("k"), F.col(text).alias("t"))
