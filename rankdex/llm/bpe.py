@@ -30,6 +30,8 @@ _PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p
 #: task remembers.
 BLOCK_CHARS = 1 << 20
 KNOWN_CHUNKS = 40_000
+#: Chunks whose ids are put in place at once.
+GATHERED_CHUNKS = 1 << 17
 
 _NONE = np.int32(2**31 - 1)
 
@@ -220,9 +222,14 @@ class Encoder:
         sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
         first = np.cumsum(sizes) - sizes
         ids = np.frombuffer(b"".join(packed), "<u4")
-        counts = sizes[which]
-        after = np.concatenate([[0], np.cumsum(counts)])
-        out = ids[np.repeat(first[which] - after[:-1], counts) + np.arange(after[-1])]
+        after = np.concatenate([[0], np.cumsum(sizes[which])])
+        out = np.empty(after[-1], "<u4")
+        for at in range(0, len(which), GATHERED_CHUNKS):  # a long text has very many
+            some = which[at : at + GATHERED_CHUNKS]
+            counts, start = sizes[some], after[at]
+            to = after[at + len(some)]
+            shift = first[some] - (after[at : at + len(some)] - start)
+            out[start:to] = ids[np.repeat(shift, counts) + np.arange(to - start)]
         content, bounds = memoryview(out.view(np.uint8)), (after[place[[0, *ends]]] * 4).tolist()
         return [content[start:end] for start, end in zip(bounds, bounds[1:])]
 
