@@ -12,10 +12,24 @@ from rankdex.llm import bpe, decontamination, line_spread, near_duplicates, qual
 from rankdex.llm.queries import held_out, word_vocabulary
 from rankdex.scratch import materialise
 
+#: Rows that an executor and its Python workers hand to each other at once. Spark's default
+#: of 10,000 is a whole task of documents, held on both sides of every worker.
+BATCH_ROWS = 1000
+_BATCHES = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Set the session's Arrow batches to ``BATCH_ROWS`` rows, unless they are smaller.
+    Every stage with Python workers calls this; no result depends on it."""
+    rows = int(spark.conf.get(_BATCHES))
+    if rows <= 0 or rows > BATCH_ROWS:  # 0 and less: no bound
+        spark.conf.set(_BATCHES, BATCH_ROWS)
+
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose lines are good by the conditional random field, which learns from
     the labelled documents outside of the held-out third."""
+    bound_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.fit(docs, labels, ~held_out(F.col("doc_id")))
     return quality.good_documents(docs, model)
@@ -28,6 +42,7 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates, by five-word shingles."""
+    bound_batches(spark)
     return near_duplicates.one_of_each(docs, words=5, percent=80)
 
 
@@ -39,6 +54,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every document, and digests of them and of the decoded text."""
+    bound_batches(spark)
     return bpe.round_trip(docs, word_vocabulary()).select(
         "doc_id",
         "n_tokens",
