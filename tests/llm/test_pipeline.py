@@ -62,3 +62,15 @@ def test_queries_are_registered():
     for n in range(1, 11):
         assert len([q for q in names if q.startswith(f"op{n}_")]) == 1
     assert "pipeline" in names
+
+
+def test_batches_are_bounded_and_smaller_ones_kept(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for rows, bounded in ((10_000, 1000), (0, 1000), (-1, 1000), (1000, 1000), (50, 50)):
+            spark.conf.set(name, rows)
+            corpus_pipeline.bound_batches(spark)
+            assert int(spark.conf.get(name)) == bounded
+    finally:
+        spark.conf.set(name, before)
