@@ -28,6 +28,7 @@ from rankdex.functions.literals import normalise, related_entries  # noqa: E402
 from rankdex.functions.text import replace_first, valid_query  # noqa: E402
 from rankdex.operators.lookup import Limits, fetch, missing  # noqa: E402
 from rankdex.operators.pairing import cogroup, pair_in_order, side_sizes  # noqa: E402
+from rankdex.operators.posting_blocks import read_blocks, write_blocks  # noqa: E402
 from rankdex.operators.postings import inverted_index, read_heads, write_index  # noqa: E402
 from rankdex.operators.ranking import (  # noqa: E402
     dense_index,
@@ -701,6 +702,15 @@ def search_stored_index(spark, sf_dir):
     return stored_search(spark, sf_dir)(spark, sf_dir)
 
 
+@register(page_sql(3))
+def search_posting_blocks(spark, sf_dir):
+    """The index stored in blocks of gaps, and searched from those alone."""
+    path = scratch_path(spark, "blocks")
+    write_blocks(_index(spark, sf_dir), path)
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    return search(_keyword_queries(spark, sf_dir), read_blocks(spark, path), documents, 3)
+
+
 @register(
     f"""with {STEMMED_INDEX}, {QUERIES}, {HITS}
     select query_id, rk as "rank", doc_id, text description, lang first_topic, source last_topic,

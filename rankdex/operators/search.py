@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rankdex.functions.text import query_words, stem_words
 from rankdex.operators.lookup import LIMITS, Limits, measure, only_asked, spread_join
+from rankdex.operators.posting_blocks import block_heads
 from rankdex.operators.postings import DEPTH, PAGE_SIZE, posting_heads
 from rankdex.scratch import materialise
 
@@ -33,7 +34,7 @@ def query_bags(
     """One row per query: the documents of its first word in id order, then those of
     the second, and so on, repeats kept, at most ``depth`` of each word.
 
-    ``index`` holds postings or their heads. The terms of the queries are stored
+    ``index`` holds postings, blocks of them, or their heads. The terms of the queries are stored
     first and measured; see ``only_asked`` for what that saves on the index. A query
     id that occurs twice is an error.
     """
@@ -43,7 +44,9 @@ def query_bags(
         raise ValueError(f"{query_id} is not unique")
     rows, size = measure(terms)
     index = only_asked(index, terms, "keyword", rows, size, limits)
-    if "doc_ids" not in index.columns:
+    if "gaps" in index.columns:
+        heads = block_heads(index, depth)
+    elif "doc_ids" not in index.columns:
         heads = posting_heads(index, depth)
     elif depth <= DEPTH:
         heads = index.withColumn("doc_ids", F.slice("doc_ids", 1, depth))

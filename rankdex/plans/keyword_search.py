@@ -23,7 +23,7 @@ def search_pages(
 ) -> DataFrame:
     """One row per query with the labels and hits of one page; see ``result_pages``.
 
-    ``index`` holds postings or heads; there are ``PAGES`` pages with either.
+    ``index`` holds postings, blocks or heads; there are ``PAGES`` pages with any.
     ``query_id`` is unique.
     ``only_valid`` leaves out queries that are empty or hold anything but ASCII
     letters and spaces.
