@@ -12,15 +12,23 @@ def scratch_root(spark: SparkSession) -> str:
 
     Executors may be lost at any time, so it has to be one that every executor can
     read: ``spark.checkpoint.dir``, or, where that is unset, a folder in the
-    warehouse, which is shared wherever tables are.
+    warehouse, which is shared wherever tables are. On a cluster a warehouse on local
+    disks is refused: set ``spark.checkpoint.dir``.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+        root = f"{_shared(spark.conf.get('spark.sql.warehouse.dir'), context.master)}/scratch"
     return f"{root.rstrip('/')}/rankdex-{context.applicationId}"
 
 
+def _shared(warehouse: str, master: str) -> str:
+    """``warehouse``, unless it is a folder of each machine of a cluster."""
+    if warehouse.startswith("file:") and not master.startswith("local"):
+        raise ValueError(f"{warehouse} is on local disks: set spark.checkpoint.dir to a shared folder")
+    return warehouse.rstrip("/")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path in the application's folder."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"

@@ -1,10 +1,12 @@
 from types import SimpleNamespace
 
+import pytest
+
 from rankdex.scratch import clear_scratch, materialise, scratch_path
 
 
-def session(conf=None, checkpoint=None, warehouse="file:/wh"):
-    context = SimpleNamespace(applicationId="app", getCheckpointDir=lambda: checkpoint)
+def session(conf=None, checkpoint=None, warehouse="file:/wh", master="local[4]"):
+    context = SimpleNamespace(applicationId="app", getCheckpointDir=lambda: checkpoint, master=master)
     settings = {"spark.checkpoint.dir": conf, "spark.sql.warehouse.dir": warehouse}
     return SimpleNamespace(conf=settings, sparkContext=context)
 
@@ -39,3 +41,12 @@ def test_clear_scratch_deletes_the_folder_of_the_application(tmp_path, spark):
     (folder / "x").mkdir(parents=True)
     clear_scratch(other)
     assert not folder.exists()
+
+
+@pytest.mark.parametrize("master", ["yarn", "spark://c:7077", "k8s://d"])
+def test_a_local_warehouse_is_refused_on_a_cluster(master):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(session(master=master), "x")
+    assert scratch_path(session("file:/mounted", master=master), "x").startswith("file:/mounted/")
+    path = scratch_path(session(warehouse="s3a://b/w/", master=master), "x")
+    assert path.startswith("s3a://b/w/scratch/rankdex-app/x-")
