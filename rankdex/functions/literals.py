@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -13,6 +13,14 @@ _HEX_ESCAPE = r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})"
 _TRAILING_COMMA = r",\s*([\]}])\s*$"
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with ``value`` worked out once however often ``use`` names it, also
+    where the optimizer copies the result into a filter. A column of its own does not do
+    that: a filter that is pushed below it takes a copy for every mention, those inside of
+    lambdas once per element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _json_text(literal: Column) -> Column:
     """``literal`` in the form that Spark's JSON parser takes."""
     # Few texts hold such an escape: spare the others the pattern.
@@ -31,19 +39,22 @@ def _parsed(json: Column, kind: str, parts: str) -> Column:
     same type with variants, it shows what each part is.
     """
     options = {"allowSingleQuotes": "true", "allowUnquotedFieldNames": "true"}
-    mark = F.xxhash64(json)
-    marked = F.concat(F.lit('{"v": '), json, F.lit(', "end": '), mark.cast("string"), F.lit("}"))
 
-    def parse(of: str) -> Column:
-        return F.from_json(marked, f"struct<v: {of}, end: long>", options)
+    def checked(json: Column) -> Column:
+        mark = F.xxhash64(json)
+        marked = F.concat(F.lit('{"v": '), json, F.lit(', "end": '), mark.cast("string"), F.lit("}"))
+
+        def parse(of: str) -> Column:
+            return F.from_json(marked, f"struct<v: {of}, end: long>", options)
+
+        values = F.map_values(parse(parts)["v"]) if parts.startswith("map") else parse(parts)["v"]
+        inner = F.exists(values, lambda part: F.schema_of_variant(part).rlike("^(ARRAY|OBJECT)"))
+        # Few texts hold a second bracket: spare the others the parsing of parts.
+        suspicious = json.rlike(r"(?s)^\s*.[^\[{]*[\[{]")
+        plain = ~F.when(suspicious, F.coalesce(inner, F.lit(False))).otherwise(F.lit(False))
+        return _once(parse(kind), lambda whole: F.when((whole["end"] == mark) & plain, whole["v"]))
 
-    whole = parse(kind)
-    values = F.map_values(parse(parts)["v"]) if parts.startswith("map") else parse(parts)["v"]
-    inner = F.exists(values, lambda part: F.schema_of_variant(part).rlike("^(ARRAY|OBJECT)"))
-    # Few texts hold a second bracket: spare the others the parsing of parts.
-    suspicious = json.rlike(r"(?s)^\s*.[^\[{]*[\[{]")
-    plain = ~F.when(suspicious, F.coalesce(inner, F.lit(False))).otherwise(F.lit(False))
-    return F.when((whole["end"] == mark) & plain, whole["v"])
+    return _once(json, checked)
 
 
 def list_literal(literal: Column) -> Column:
@@ -67,15 +78,17 @@ def with_map(df: DataFrame, column: str) -> DataFrame:
             entry["value"].alias("title"),
         ),
     )
-    # A column of its own, so that the lambda below does not sort once per entry.
-    df = df.withColumn("_entries", F.sort_array(entries))
-    last_of_id = F.filter(
-        "_entries",
-        lambda entry, at: F.coalesce(F.get("_entries", at + 1)["id"] != entry["id"], F.lit(True)),
-    )
-    pairs = F.transform(last_of_id, lambda entry: F.struct(entry["id"], entry["title"]))
-    bad_key = F.exists("_entries", lambda entry: entry["id"].isNull())
-    return df.withColumn(column, F.when(~bad_key, F.map_from_entries(pairs))).drop("_entries")
+
+    def by_id(entries: Column) -> Column:
+        last_of_id = F.filter(
+            entries,
+            lambda entry, at: F.coalesce(F.get(entries, at + 1)["id"] != entry["id"], F.lit(True)),
+        )
+        pairs = F.transform(last_of_id, lambda entry: F.struct(entry["id"], entry["title"]))
+        bad_key = F.exists(entries, lambda entry: entry["id"].isNull())
+        return F.when(~bad_key, F.map_from_entries(pairs))
+
+    return df.withColumn(column, _once(F.sort_array(entries), by_id))
 
 
 def normalise(
