@@ -2,25 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rankdex.functions.text import replace_first
+from rankdex.functions.text import once, replace_first
 
 # Fixed values: \xNN after an even number of backslashes, and a comma before the last bracket.
 _HEX_ESCAPE = r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})"
 _TRAILING_COMMA = r",\s*([\]}])\s*$"
 
 
-def _once(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)``, with ``value`` worked out once however often ``use`` names it, also
-    where the optimizer copies the result into a filter. A column of its own does not do
-    that: a filter that is pushed below it takes a copy for every mention, those inside of
-    lambdas once per element."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _json_text(literal: Column) -> Column:
     """``literal`` in the form that Spark's JSON parser takes."""
     # Few texts hold such an escape: spare the others the pattern.
@@ -52,9 +44,9 @@ def _parsed(json: Column, kind: str, parts: str) -> Column:
         # Few texts hold a second bracket: spare the others the parsing of parts.
         suspicious = json.rlike(r"(?s)^\s*.[^\[{]*[\[{]")
         plain = ~F.when(suspicious, F.coalesce(inner, F.lit(False))).otherwise(F.lit(False))
-        return _once(parse(kind), lambda whole: F.when((whole["end"] == mark) & plain, whole["v"]))
+        return once(parse(kind), lambda whole: F.when((whole["end"] == mark) & plain, whole["v"]))
 
-    return _once(json, checked)
+    return once(json, checked)
 
 
 def list_literal(literal: Column) -> Column:
@@ -88,7 +80,7 @@ def with_map(df: DataFrame, column: str) -> DataFrame:
         bad_key = F.exists(entries, lambda entry: entry["id"].isNull())
         return F.when(~bad_key, F.map_from_entries(pairs))
 
-    return df.withColumn(column, _once(F.sort_array(entries), by_id))
+    return df.withColumn(column, once(F.sort_array(entries), by_id))
 
 
 def normalise(

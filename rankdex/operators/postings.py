@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from rankdex.functions.text import stem_words, words
+from rankdex.functions.text import distinct_stems, words
 from rankdex.scratch import materialise
 
 PAGE_SIZE = 15  # Fixed value: hits on a page.
@@ -30,8 +30,9 @@ def inverted_index(
     documents = documents.select(key, text)
     keywords = words(F.col(text))
     if stem:
-        keywords = F.array_distinct(stem_words(keywords))
-    pairs = documents.select(F.explode(keywords).alias("keyword"), F.col(key).alias("doc_id"))
+        pairs = distinct_stems(documents, keywords, key)
+    else:
+        pairs = documents.select(F.explode(keywords).alias("keyword"), F.col(key).alias("doc_id"))
     return pairs if unique_key else pairs.distinct()
 
 

@@ -334,3 +334,27 @@ def test_detail_lookup(spark):
     assert sorted((r["request_id"], r["title"]) for r in found.collect()) == [
         (1, "a"), (2, "b"), (5, "a"),
     ]
+
+
+def test_long_texts_reach_the_stemmer_in_parts(spark, monkeypatch):
+    """However long texts are, a row that goes to Python holds a few words; the stems of a
+    text are made distinct over all its parts, also where an Arrow batch ends within it."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    many = [f"q{x}{y}{z}{end}" for x in letters[:9] for y in letters for z in "bdk" for end in ("", "s", "ing")]
+    texts = [(1, " ".join(many)), (2, "Cats cat"), (None, "cats"), (2, "cat pony"), (3, ""), (4, None), (5, many[0])]
+    documents = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    given = []
+    kind, run = type(documents), type(documents).mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda df, *rest: given.append(df) or run(df, *rest))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    expected = sorted((s, i) for i, text in texts if i and text for s in {stem(w) for w in text.lower().split()})
+    try:
+        for rows in (1, 7, 10_000):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+            got = [tuple(r) for r in inverted_index(documents).collect()]
+            assert sorted(r for r in got if r[1]) == expected
+            assert [r for r in got if not r[1]] == [("cat", None)]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert len(given) == 3
+    assert given[0].select(F.max(F.size("words"))).first()[0] <= 32
