@@ -8,7 +8,8 @@ state; and a second scan then finds the records of every range on its own. Recor
 cross ranges are put together from their parts, of which a range has two at most.
 
 Ranges are Spark's own splits of the files as text lines, so any store that Spark reads
-will do, and each range is read by one task.
+will do. A range is read by one task; a task reads several ranges where those are small,
+as starting one costs Python more than reading a small range.
 """
 
 from __future__ import annotations
@@ -24,6 +25,10 @@ from rankdex.scratch import materialise
 
 DELIMITER, QUOTE = ",", '"'
 
+#: Bytes that a task reads at least, and tasks per core below which ranges are not put together.
+TASK_BYTES = 16 << 20
+TASKS_PER_CORE = 4
+
 _SPLITS = "file long, start long, from_record boolean, from_quoted boolean, cuts boolean, filled boolean, cr boolean"
 
 
@@ -66,12 +71,21 @@ def line_state(escape: str) -> Callable[[str, bool], bool]:
 def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``file, start, value``: the lines of all ranges, those of a range in order within
     one partition. A file goes by the hash of its path."""
-    lines = spark.read.option("lineSep", "\n").text(path)
-    return lines.select(
+    lines = spark.read.option("lineSep", "\n").text(path).select(
         F.xxhash64("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
         F.make_valid_utf8("value").alias("value"),
     )
+    splits = lines.rdd.getNumPartitions()
+    return lines.coalesce(max(1, tasks(spark, splits)))
+
+
+def tasks(spark: SparkSession, splits: int) -> int:
+    """How many tasks read so many splits."""
+    size = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    together = max(1, TASK_BYTES // max(1, size))
+    fewest = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    return min(splits, max(fewest, -(-splits // together)))
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, pa.RecordBatch]]:

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from rankdex.sources.csv_records import csv_records, line_state, read_csv
+from rankdex.sources.csv_records import TASKS_PER_CORE, _lines, csv_records, line_state, read_csv, tasks
 from rankdex.sources.documents import read_documents
 
 SF = "/root/testdata/sf0.001"
@@ -183,3 +183,22 @@ def test_whole_documents_in_small_splits(spark, table, tmp_path, splits):
         documents.select("talk_id", F.coalesce("description", F.lit("")), "title")
     )
     assert found.count() == documents.count() and both.isEmpty()
+
+
+def test_small_ranges_share_tasks(spark, tmp_path, splits):
+    """Every range used to be a task of its own in three scans, however small it was."""
+    splits(500)
+    path = tmp_path / "d.csv"
+    path.write_text("a,b\n" + "".join(f'{i},"some\n{"long " * (i % 300)}text"\n' for i in range(400)))
+    assert path.stat().st_size > 300_000  # 600 ranges
+    fewest = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert _lines(spark, str(path)).rdd.getNumPartitions() == fewest
+    assert len(same(spark, path)) == 400
+
+
+def test_tasks_grow_with_the_input(spark, splits):
+    splits(1 << 20)
+    fewest = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert [tasks(spark, n) for n in (0, 1, fewest, fewest + 1, 16_000)] == [0, 1, fewest, fewest, 1000]
+    splits(128 << 20)
+    assert tasks(spark, 16_000) == 16_000
