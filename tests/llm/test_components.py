@@ -1,0 +1,25 @@
+from pyspark.sql import functions as F
+
+from rankdex.llm import components as module
+from rankdex.llm.components import components
+
+
+def test_rounds_over_few_links_take_few_tasks(spark, monkeypatch):
+    """Every round used to take a task a shuffle partition, however few links there are."""
+    parts, store = [], module.materialise
+    monkeypatch.setattr(
+        module, "materialise", lambda df, label: parts.append((label, df.rdd.getNumPartitions())) or store(df, label)
+    )
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in held}
+    try:
+        for name, value in held.items():
+            spark.conf.set(name, value)
+        links = spark.range(1, 60).select(F.col("id").alias("a"), (F.col("id") + F.when(F.col("id") < 30, 1).otherwise(100)).alias("b"))
+        found = {r["id"]: r["component"] for r in components(links).collect()}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert found == {**{i: 1 for i in range(1, 31)}, 130: 1, **{i + d: i for i in range(31, 60) for d in (0, 100)}}
+    assert {label for label, _ in parts} == {"links", "least", "large", "small"}
+    assert all(n <= module.FEWEST_TASKS for label, n in parts if label != "links")
