@@ -192,8 +192,9 @@ class Encoder:
         for chunk, found in pieces_of.items():
             known[chunk] = b"".join([known[p] for p in found])
 
-    def encode(self, texts: list[str]) -> list[memoryview]:
-        """Packed little-endian 32-bit ids of each text."""
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Packed little-endian 32-bit ids of each text. Copies, as pyarrow never lets go
+        of a memoryview that becomes part of an array, nor of the block behind it."""
         if len(self.known) > KNOWN_CHUNKS:
             self.known, self.older = {}, self.known
         # Texts without special tokens, that is nearly all, are one part.
@@ -231,7 +232,7 @@ class Encoder:
             shift = first[some] - (after[at : at + len(some)] - start)
             out[start:to] = ids[np.repeat(shift, counts) + np.arange(to - start)]
         content, bounds = memoryview(out.view(np.uint8)), (after[place[[0, *ends]]] * 4).tolist()
-        return [content[start:end] for start, end in zip(bounds, bounds[1:])]
+        return [bytes(content[start:end]) for start, end in zip(bounds, bounds[1:])]
 
 
 def _blocks(column: pa.Array) -> Iterator[list[str]]:
@@ -246,7 +247,7 @@ def _blocks(column: pa.Array) -> Iterator[list[str]]:
         yield texts
 
 
-def decode_ids(packed: bytes | memoryview, symbols: list[bytes]) -> bytes:
+def decode_ids(packed: bytes | pa.Buffer, symbols: list[bytes]) -> bytes:
     """The symbols of packed ids with a blank between them; ids beyond them are left out."""
     ids = np.frombuffer(packed, "<u4")
     if len(ids) and ids.max() >= len(symbols):
@@ -254,6 +255,24 @@ def decode_ids(packed: bytes | memoryview, symbols: list[bytes]) -> bytes:
     return b" ".join(map(symbols.__getitem__, ids.tolist()))
 
 
+def coded(
+    batch: pa.RecordBatch, encoder: Encoder, symbols: list[bytes], decoded: bool
+) -> Iterator[pa.RecordBatch]:
+    """``k, n, ids`` and, if asked for, ``decoded`` of a batch of keys and texts, block by block."""
+    at = 0
+    for texts in _blocks(batch.column(1)):
+        packed = encoder.encode(texts)
+        columns = [
+            batch.column(0).slice(at, len(texts)),
+            pa.array([len(p) // 4 for p in packed], pa.int64()),
+            pa.array(packed, pa.binary()),
+        ]
+        if decoded:
+            columns.append(pa.array([decode_ids(p, symbols) for p in packed], pa.binary()).cast(pa.string()))
+        yield pa.RecordBatch.from_arrays(columns, names=["k", "n", "ids", "decoded"][: len(columns)])
+        at += len(texts)
+
+
 def _run(
     documents: DataFrame, vocabulary_path: str, key: str, text: str, decoded: bool
 ) -> DataFrame:
@@ -262,18 +281,7 @@ def _run(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, symbols = Encoder(vocabulary.value), vocabulary.value.symbols
         for batch in batches:
-            at = 0
-            for texts in _blocks(batch.column(1)):
-                packed = encoder.encode(texts)
-                columns = [
-                    batch.column(0).slice(at, len(texts)),
-                    pa.array([len(p) // 4 for p in packed], pa.int64()),
-                    pa.array(packed, pa.binary()),
-                ]
-                if decoded:
-                    columns.append(pa.array([decode_ids(p, symbols) for p in packed], pa.binary()).cast(pa.string()))
-                yield pa.RecordBatch.from_arrays(columns, names=["k", "n", "ids", "decoded"][: len(columns)])
-                at += len(texts)
+            yield from coded(batch, encoder, symbols, decoded)
             tokens.release()
         del encoder
         tokens.release()

@@ -161,6 +161,7 @@ def _small_node_pairs(nodes: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids[left]), pa.array(ids[right]), pa.array(likely)], names=["a", "b", "likely"]
             )
+            tokens.release()
 
     return nodes.select("sets").mapInArrow(compare, "a long, b long, likely boolean")
 
@@ -255,6 +256,7 @@ def _shingle_sets(
         for batch in batches:
             found = [s.tobytes() for s in tokens.shingle_sets(batch.column(1), words)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "shingles"])
+            tokens.release()
 
     return materialise(named.select("id", "text").mapInArrow(sets, "id long, shingles binary"), "sets")
 

@@ -217,6 +217,7 @@ def fit(
                 packed = [found[bounds[i] : bounds[i + 1]].tobytes() for i in range(b - a)]
                 keys = [batch.column(j).slice(a, b - a) for j in (0, 2)]
                 yield pa.RecordBatch.from_arrays([*keys, pa.array(packed, pa.binary())], names=["k", "label", "lines"])
+            tokens.release()
 
     kind = documents.schema[key].dataType.simpleString()
     found = chosen.select(key, text, "_label").mapInArrow(featurise, f"k {kind}, label int, lines binary")

@@ -1,6 +1,8 @@
+import gc
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
@@ -89,3 +91,16 @@ def test_few_remembered_chunks_change_nothing(monkeypatch, vocabulary):
     monkeypatch.setattr(bpe, "KNOWN_CHUNKS", 3)
     encoder = bpe.Encoder(vocabulary)
     assert [encoder.encode([t])[0] for t in texts] == expected
+
+
+def test_nothing_of_a_batch_stays_in_the_worker():
+    vocabulary = bpe.Vocabulary(word_vocabulary())
+    texts = [f"{i} words of a text <unk> and {i * i} more" for i in range(500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(500)), pa.array(texts)], names=["k", "t"])
+    encoder = bpe.Encoder(vocabulary)
+    views = lambda: sum(type(x) is memoryview for x in gc.get_objects())
+    for _ in range(3):
+        rows = sum(b.num_rows for b in bpe.coded(batch, encoder, vocabulary.symbols, True))
+        assert rows == 500
+        gc.collect()
+        assert views() < 100

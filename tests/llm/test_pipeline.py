@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 from test_near_duplicates import brute_force, shingles
 from test_native import deduped, passages
@@ -74,3 +75,38 @@ def test_batches_are_bounded_and_smaller_ones_kept(spark):
             assert int(spark.conf.get(name)) == bounded
     finally:
         spark.conf.set(name, before)
+
+
+def test_batches_are_bounded_in_bytes(spark, monkeypatch):
+    names = [corpus_pipeline._BATCHES, corpus_pipeline._BYTES, corpus_pipeline._SCANS]
+    before = {name: spark.conf.get(name) for name in names}
+    most = dict(zip(names, (corpus_pipeline.BATCH_ROWS, corpus_pipeline.BATCH_BYTES, corpus_pipeline.SCAN_ROWS)))
+    docs = spark.createDataFrame([(i, f"{i} " + "word " * 20_000) for i in range(40)], "doc_id long, text string")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "b"])
+
+    try:
+        for size in ("1g", "67108864b"):
+            spark.conf.set(corpus_pipeline._BYTES, size)
+            corpus_pipeline.bound_batches(spark)
+            assert spark.conf.get(corpus_pipeline._BYTES) == str(1 << 20)
+        found = docs.coalesce(1).mapInArrow(sizes, "n long, b long").collect()
+        assert sum(r.n for r in found) == 40
+        assert max(r.b for r in found) < (1 << 20) + 2 * 100_000  # and the row that fills it
+        for size in ("512k", "1000b"):  # smaller ones are kept
+            spark.conf.set(corpus_pipeline._BYTES, size)
+            corpus_pipeline.bound_batches(spark)
+            assert corpus_pipeline._bytes(spark.conf.get(corpus_pipeline._BYTES)) == corpus_pipeline._bytes(size)
+        # Stages without Python workers scan texts too.
+        monkeypatch.setattr(corpus_pipeline.line_spread, "dedup_lines", lambda docs: docs)
+        monkeypatch.setattr(corpus_pipeline.decontamination, "without_contaminated", lambda docs, _: docs)
+        for stage in (corpus_pipeline.without_boilerplate, corpus_pipeline.without_benchmark):
+            for name, value in before.items():
+                spark.conf.set(name, value)
+            stage(spark, docs, SF)
+            assert all(corpus_pipeline._bytes(spark.conf.get(name)) <= most[name] for name in names)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
